@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import counts, topn
+from .operators import blacklist, counts, lateness, logins, orders, payments, topn, uniques
+from .functions.hashing import string_hash_sql
 from .sources import adapters as ad
+from .sources.files import parse_access_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +30,9 @@ K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 SQL_VIEWS = {
     "user_behavior": f"""SELECT event_id, user_id, {K} AS item_id, CAST({K} % 10 AS INTEGER) AS category_id,
         CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior, ts FROM events""",
-    "access_log": f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, ts AS event_time,
+    "access_log": f"""SELECT event_id,
+        '10.0.' || CAST((user_id >> 8) & 255 AS VARCHAR) || '.' || CAST(user_id & 255 AS VARCHAR) AS ip,
+        CAST(user_id AS VARCHAR) AS user_id, ts AS event_time,
         CASE WHEN event_type IN ('view', 'click') THEN 'GET' ELSE 'POST' END AS method,
         '/item/' || CAST({K} AS VARCHAR) AS url, ts + to_minutes({K} % 25) AS arrival_ts FROM events""",
     "market_behavior": """SELECT event_id, user_id,
@@ -93,3 +98,287 @@ def register(name: str, sql: str | None = None):
 )
 def hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.hot_items(ad.user_behavior(ad.events(spark, sf_dir)), n=5, size="1 hour", slide="5 minutes")
+
+
+def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.events(spark, sf_dir)
+
+
+def _hour_end(ts: str = "ts", size_us: int = HOUR) -> str:
+    return f"make_timestamp((epoch_us({ts}) // {size_us}) * {size_us} + {size_us})"
+
+
+# ------------------------------------------------------------ 1. sources
+@register("scan_user_behavior", with_views("SELECT * FROM user_behavior", "user_behavior"))
+def scan_user_behavior(spark, sf_dir):
+    return ad.user_behavior(_ev(spark, sf_dir))
+
+
+@register(
+    "parse_access_log",
+    with_views("SELECT ip, user_id, date_trunc('second', event_time) AS event_time, method, url FROM access_log",
+               "access_log"),
+)
+def parse_access_log_q(spark, sf_dir):
+    log = ad.access_log(_ev(spark, sf_dir))
+    line = F.concat_ws(" ", "ip", "user_id", F.lit("-"), F.date_format("event_time", "dd/MM/yyyy:HH:mm:ss"),
+                       F.lit("+0000"), "method", "url")
+    return parse_access_log(log.select(line.alias("value")))
+
+
+# ------------------------------------------------------------ 2. windows, counts, top-N
+@register("item_window_counts",
+          with_views(sql_window_counts("user_behavior", "ts", ["item_id"], HOUR, 5 * MIN, "behavior = 'pv'"),
+                     "user_behavior"))
+def item_window_counts(spark, sf_dir):
+    return counts.item_window_counts(ad.user_behavior(_ev(spark, sf_dir)), "1 hour", "5 minutes")
+
+
+@register("hot_urls_topn",
+          with_views(sql_top_n(sql_window_counts("access_log", "event_time", ["url"], 10 * MIN, MIN,
+                                                 "method = 'GET'"), "url", 5), "access_log"))
+def hot_urls_topn(spark, sf_dir):
+    return topn.hot_urls(ad.access_log(_ev(spark, sf_dir)), n=5, size="10 minutes", slide="1 minute")
+
+
+@register("pv_hourly", with_views(f"SELECT {_hour_end()} AS window_end, count(*) AS pv FROM user_behavior "
+                                  "WHERE behavior = 'pv' GROUP BY 1", "user_behavior"))
+def pv_hourly(spark, sf_dir):
+    return counts.pv_counts(ad.user_behavior(_ev(spark, sf_dir)), "1 hour")
+
+
+@register("pv_hourly_salted", ORACLE["pv_hourly"])
+def pv_hourly_salted(spark, sf_dir):
+    return counts.pv_counts_salted(ad.user_behavior(_ev(spark, sf_dir)), "1 hour", salts=4)
+
+
+@register("channel_behavior_counts",
+          with_views(sql_window_counts("market_behavior", "ts", ["channel", "behavior"], HOUR, 5 * MIN,
+                                       "behavior IS DISTINCT FROM 'UNINSTALL'"), "market_behavior"))
+def channel_behavior_counts(spark, sf_dir):
+    return counts.channel_behavior_counts(ad.market_behavior(_ev(spark, sf_dir)), "1 hour", "5 minutes")
+
+
+@register("province_ad_counts",
+          with_views(sql_window_counts("ad_clicks", "ts", ["province"], HOUR, 5 * MIN), "ad_clicks"))
+def province_ad_counts(spark, sf_dir):
+    return counts.province_ad_counts(ad.ad_clicks(_ev(spark, sf_dir)), "1 hour", "5 minutes")
+
+
+@register("province_ad_counts_fine",
+          with_views(sql_window_counts("ad_clicks", "ts", ["province"], HOUR, 5 * SEC), "ad_clicks"))
+def province_ad_counts_fine(spark, sf_dir):
+    return counts.province_ad_counts(ad.ad_clicks(_ev(spark, sf_dir)), "1 hour", "5 seconds", strategy="step")
+
+
+# ------------------------------------------------------------ 3. unique visitors
+_UB_HASH = string_hash_sql("CAST(user_id AS VARCHAR)")
+
+
+@register("uv_hourly", with_views(f"SELECT {_hour_end()} AS window_end, count(DISTINCT user_id) AS uv "
+                                  "FROM user_behavior GROUP BY 1", "user_behavior"))
+def uv_hourly(spark, sf_dir):
+    return uniques.uv_exact(ad.user_behavior(_ev(spark, sf_dir)), "1 hour")
+
+
+@register("uv_bitmap_hourly", with_views(f"SELECT {_hour_end()} AS window_end, count(DISTINCT {_UB_HASH}) AS uv "
+                                         "FROM user_behavior GROUP BY 1", "user_behavior"))
+def uv_bitmap_hourly(spark, sf_dir):
+    return uniques.uv_bitmap(ad.user_behavior(_ev(spark, sf_dir)), "1 hour")
+
+
+@register("uv_running", with_views(f"""SELECT window_end, event_id,
+        CAST(sum(inc) OVER (PARTITION BY window_end ORDER BY ts, event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS uv
+    FROM (SELECT window_end, event_id, ts,
+                 CASE WHEN row_number() OVER (PARTITION BY window_end, bit ORDER BY ts, event_id) = 1
+                      THEN 1 ELSE 0 END AS inc
+          FROM (SELECT {_hour_end()} AS window_end, event_id, ts, {_UB_HASH} AS bit FROM user_behavior) r) f""",
+                                   "user_behavior"))
+def uv_running(spark, sf_dir):
+    return uniques.uv_running(ad.user_behavior(_ev(spark, sf_dir)), "1 hour")
+
+
+# ------------------------------------------------------------ 4. blacklist
+def _sql_click_no(keys: str) -> str:
+    return f"""(SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ts, event_id) AS click_no
+        FROM (SELECT *, CAST(ts + INTERVAL 8 HOUR AS DATE) AS day FROM ad_clicks) d) n"""
+
+
+@register("ad_blacklist", with_views(f"""SELECT user_id, ad_id, day, ts, event_id,
+        'clicked more than 2 times' AS warning_msg FROM {_sql_click_no('user_id, ad_id, day')}
+    WHERE click_no = 2""", "ad_clicks"))
+def ad_blacklist(spark, sf_dir):
+    return blacklist.blacklist_warnings(ad.ad_clicks(_ev(spark, sf_dir)), max_click=2, daily_reset=True)
+
+
+@register("ad_blacklist_no_reset", with_views(f"""SELECT user_id, ad_id, ts, event_id,
+        'clicked more than 5 times' AS warning_msg FROM {_sql_click_no('user_id, ad_id')}
+    WHERE click_no = 5""", "ad_clicks"))
+def ad_blacklist_no_reset(spark, sf_dir):
+    return blacklist.blacklist_warnings(ad.ad_clicks(_ev(spark, sf_dir)), max_click=5, daily_reset=False)
+
+
+_ALLOWED_SQL = f"""SELECT event_id, user_id, ad_id, province, city, ts FROM {_sql_click_no('user_id, ad_id, day')}
+    WHERE click_no < 2"""
+
+
+@register("ad_clicks_allowed", with_views(_ALLOWED_SQL, "ad_clicks"))
+def ad_clicks_allowed(spark, sf_dir):
+    return blacklist.allowed_clicks(ad.ad_clicks(_ev(spark, sf_dir)), max_click=2, daily_reset=True)
+
+
+@register("province_ad_counts_clean",
+          with_views(sql_window_counts(f"({_ALLOWED_SQL}) allowed", "ts", ["province"], HOUR, 5 * MIN),
+                     "ad_clicks"))
+def province_ad_counts_clean(spark, sf_dir):
+    return blacklist.province_counts_clean(ad.ad_clicks(_ev(spark, sf_dir)), max_click=2, size="1 hour",
+                                           slide="5 minutes")
+
+
+# ------------------------------------------------------------ 5. login failures
+_LAGGED = """(SELECT user_id, ts, event_type, lag(ts) OVER w AS prev_ts, lag(event_type) OVER w AS prev_type
+        FROM logins WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) l"""
+
+
+@register("login_fail_pairs", with_views(f"""SELECT user_id, prev_ts AS first_fail_ts, ts AS last_fail_ts
+    FROM {_LAGGED} WHERE event_type = 'fail' AND prev_type = 'fail'
+      AND epoch_us(ts) - epoch_us(prev_ts) <= {2 * HOUR}""", "logins"))
+def login_fail_pairs(spark, sf_dir):
+    return logins.fail_pairs(ad.logins(_ev(spark, sf_dir)), max_gap="2 hours")
+
+
+def _sql_fail_runs(n: int, within_us: int) -> str:
+    return f"""SELECT user_id, first_fail_ts, ts AS last_fail_ts, CAST({n} AS BIGINT) AS fails FROM (
+        SELECT user_id, ts, event_type,
+               lag(ts, {n - 1}) OVER w AS first_fail_ts,
+               sum(CASE WHEN event_type = 'fail' THEN 1 ELSE 0 END)
+                   OVER (w ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS k
+        FROM logins WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) l
+    WHERE k = {n} AND first_fail_ts IS NOT NULL AND epoch_us(ts) - epoch_us(first_fail_ts) < {within_us}"""
+
+
+@register("login_fail_consecutive", with_views(_sql_fail_runs(2, 5 * HOUR), "logins"))
+def login_fail_consecutive(spark, sf_dir):
+    return logins.fail_runs(ad.logins(_ev(spark, sf_dir)), n=2, within="5 hours")
+
+
+@register("login_fail_consecutive_3", with_views(_sql_fail_runs(3, 12 * HOUR), "logins"))
+def login_fail_consecutive_3(spark, sf_dir):
+    return logins.fail_runs(ad.logins(_ev(spark, sf_dir)), n=3, within="12 hours")
+
+
+def _sql_episodes(w_us: int, min_fails: int) -> str:
+    return f"""WITH RECURSIVE logins AS ({SQL_VIEWS['logins']}),
+    e AS (
+        SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+               epoch_us(ts) AS t, event_type = 'fail' AS f FROM logins),
+    s(user_id, rn, open, deadline, n, first_t, last_t, e_first, e_last, e_n) AS (
+        SELECT DISTINCT user_id, CAST(0 AS BIGINT), false, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+               CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM e
+        UNION ALL
+        SELECT user_id, rn,
+               f,
+               CASE WHEN NOT still AND f THEN t + {w_us} ELSE deadline END,
+               CASE WHEN still AND f THEN n + 1 WHEN NOT still AND f THEN 1 ELSE n END,
+               CASE WHEN NOT still AND f THEN t ELSE first_t END,
+               CASE WHEN f THEN t ELSE last_t END,
+               CASE WHEN emit THEN first_t END, CASE WHEN emit THEN last_t END, CASE WHEN emit THEN n END
+        FROM (SELECT s.user_id, e.rn, e.t, e.f, s.deadline, s.n, s.first_t, s.last_t,
+                     s.open AND e.t <= s.deadline AS still,
+                     s.open AND e.t > s.deadline AND s.n >= {min_fails} AS emit
+              FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1) x),
+    last AS (SELECT user_id, max(rn) AS rn FROM e GROUP BY user_id)
+    SELECT user_id, make_timestamp(e_first) AS first_fail_ts, make_timestamp(e_last) AS last_fail_ts,
+           e_n AS fails FROM s WHERE e_n IS NOT NULL
+    UNION ALL
+    SELECT s.user_id, make_timestamp(first_t), make_timestamp(last_t), n
+    FROM s JOIN last ON s.user_id = last.user_id AND s.rn = last.rn WHERE s.open AND s.n >= {min_fails}"""
+
+
+@register("login_fail_episodes", _sql_episodes(6 * HOUR, 2))
+def login_fail_episodes(spark, sf_dir):
+    return logins.fail_episodes(ad.logins(_ev(spark, sf_dir)), window="6 hours", min_fails=2)
+
+
+# ------------------------------------------------------------ 6. order lifecycle
+def _sql_status(t_us: int) -> str:
+    return f"""SELECT order_id, create_ts, pay_ts,
+        CASE WHEN create_ts IS NULL THEN 'pay_without_create' WHEN pay_ts IS NULL THEN 'pay timeout'
+             WHEN epoch_us(pay_ts) - epoch_us(create_ts) < {t_us} THEN 'payed' ELSE 'payed timeout' END AS status
+    FROM (SELECT order_id, min(ts) AS create_ts FROM order_events WHERE event_type = 'create' GROUP BY 1) c
+    FULL OUTER JOIN (
+        SELECT o.order_id, min(o.ts) AS pay_ts FROM order_events o
+        LEFT JOIN (SELECT order_id, min(ts) AS c_ts FROM order_events WHERE event_type = 'create' GROUP BY 1) cc
+          ON o.order_id = cc.order_id
+        WHERE o.event_type = 'pay' AND (cc.c_ts IS NULL OR o.ts >= cc.c_ts) GROUP BY 1) p USING (order_id)"""
+
+
+@register("order_payment_status", with_views(_sql_status(5 * MIN), "order_events"))
+def order_payment_status(spark, sf_dir):
+    return orders.payment_status(ad.order_events(_ev(spark, sf_dir)), timeout="5 minutes")
+
+
+@register("order_timeouts", with_views(f"""SELECT order_id, create_ts,
+        make_timestamp(epoch_us(create_ts) + {5 * MIN}) AS timeout_ts FROM ({_sql_status(5 * MIN)}) s
+    WHERE status IN ('pay timeout', 'payed timeout')""", "order_events"))
+def order_timeouts(spark, sf_dir):
+    return orders.timeouts(ad.order_events(_ev(spark, sf_dir)), timeout="5 minutes")
+
+
+# ------------------------------------------------------------ 7. pay / receipt
+@register("pay_receipt_interval_join", with_views(f"""SELECT p.tx_id, p.order_id, p.ts AS pay_ts,
+        r.ts AS receipt_ts, r.pay_channel
+    FROM pay_events p JOIN receipts r ON p.tx_id = r.tx_id
+     AND epoch_us(r.ts) >= epoch_us(p.ts) - {3 * MIN} AND epoch_us(r.ts) <= epoch_us(p.ts) + {5 * MIN}""",
+                                                  "pay_events", "receipts"))
+def pay_receipt_interval_join(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    return payments.interval_join(ad.pay_events(ev), ad.receipts(ev), lower="-3 minutes", upper="5 minutes")
+
+
+_RECONCILE_SQL = f"""SELECT coalesce(p_tx, r_tx) AS tx_id, order_id, pay_ts, receipt_ts, pay_channel,
+        CASE WHEN p_tx IS NULL THEN 'receipt_without_pay' WHEN r_tx IS NULL THEN 'pay_without_receipt'
+             ELSE 'matched' END AS status
+    FROM (SELECT tx_id AS p_tx, order_id, ts AS pay_ts,
+                 row_number() OVER (PARTITION BY tx_id ORDER BY ts, event_id) AS p_n
+          FROM pay_events WHERE tx_id IS NOT NULL AND tx_id <> '') p
+    FULL OUTER JOIN (SELECT tx_id AS r_tx, pay_channel, ts AS receipt_ts,
+                 row_number() OVER (PARTITION BY tx_id ORDER BY ts, event_id) AS r_n FROM receipts) r
+      ON p_tx = r_tx AND p_n = r_n AND abs(epoch_us(receipt_ts) - epoch_us(pay_ts)) <= {5 * MIN}"""
+
+
+def _reconciled(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    return payments.reconcile(ad.pay_events(ev), ad.receipts(ev), tolerance="5 minutes")
+
+
+@register("pay_receipt_reconcile", with_views(_RECONCILE_SQL, "pay_events", "receipts"))
+def pay_receipt_reconcile(spark, sf_dir):
+    return _reconciled(spark, sf_dir)
+
+
+@register("pay_without_receipt", with_views(f"SELECT tx_id, order_id, pay_ts FROM ({_RECONCILE_SQL}) x "
+                                            "WHERE status = 'pay_without_receipt'", "pay_events", "receipts"))
+def pay_without_receipt(spark, sf_dir):
+    return _reconciled(spark, sf_dir).where(F.col("status") == "pay_without_receipt").select(
+        "tx_id", "order_id", "pay_ts")
+
+
+@register("receipt_without_pay", with_views(f"SELECT tx_id, receipt_ts, pay_channel FROM ({_RECONCILE_SQL}) x "
+                                            "WHERE status = 'receipt_without_pay'", "pay_events", "receipts"))
+def receipt_without_pay(spark, sf_dir):
+    return _reconciled(spark, sf_dir).where(F.col("status") == "receipt_without_pay").select(
+        "tx_id", "receipt_ts", "pay_channel")
+
+
+# ------------------------------------------------------------ 8. late rows
+@register("late_events", with_views(f"""SELECT arrival_ts, event_id, ip, user_id, event_time, method, url,
+        make_timestamp(wm) AS watermark
+    FROM (SELECT *, max(epoch_us(event_time)) OVER (ORDER BY arrival_ts, event_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {MIN} AS wm FROM access_log) s
+    WHERE method = 'GET'
+      AND (epoch_us(event_time) // {MIN}) * {MIN} + {10 * MIN} - 1000 + {5 * MIN} <= wm""", "access_log"))
+def late_events(spark, sf_dir):
+    return lateness.late_rows(ad.late_arrivals(_ev(spark, sf_dir)), size="10 minutes", slide="1 minute",
+                              bound="1 minute", lateness="5 minutes", method="GET")

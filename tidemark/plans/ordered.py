@@ -31,6 +31,11 @@ def ts_bucket(ts_col: str, width_us: int = HOUR_US) -> Column:
     return F.floor(epoch_micros(F.col(ts_col)) / F.lit(width_us)).cast("bigint")
 
 
+def _by(keys: Sequence[str]):
+    """Window spec over keys; with no keys the scan is global (bucket level only)."""
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
 def _agg(kind: str, c: Column) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[kind](c)
 
@@ -59,7 +64,7 @@ def running(
     keys = list(keys)
     b = df.withColumn("_bk", bucket)
     tot = b.groupBy(*keys, "_bk").agg(*[_agg(kind, v).alias(f"_t_{o}") for o, v in values.items()])
-    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    before = _by(keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*keys, "_bk", *[_agg(kind, F.col(f"_t_{o}")).over(before).alias(f"_o_{o}") for o in values])
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1
@@ -97,7 +102,7 @@ def neighbours(
     if ncols:
         edge_aggs.append(F.min(F.struct(*ordkey, *[F.col(c).alias(f"v_{c}") for c in ncols])).alias("_first"))
     edges = b.groupBy(*keys, "_bk").agg(*edge_aggs)
-    wb = Window.partitionBy(*keys).orderBy("_bk")
+    wb = _by(keys).orderBy("_bk")
     sel = [*keys, "_bk"]
     if pcols:
         sel.append(F.lag("_last").over(wb).alias("_pl"))

@@ -40,10 +40,11 @@ def user_behavior(ev: DataFrame) -> DataFrame:
     )
 
 
-def access_log(ev: DataFrame) -> DataFrame:
+def access_log(ev: DataFrame, extra: list[str] = ()) -> DataFrame:
     """ApacheLog: url = /item/<k>; GET for view/click, POST otherwise."""
     uid = F.col("user_id")
     return ev.select(
+        *extra,
         "event_id",
         F.concat_ws(".", F.lit("10"), F.lit("0"), (uid.bitwiseAND(0xFF00) / 256).cast("bigint").cast("string"),
                     uid.bitwiseAND(0xFF).cast("string")).alias("ip"),
@@ -139,13 +140,10 @@ def receipts(ev: DataFrame) -> DataFrame:
 
 
 def late_arrivals(ev: DataFrame) -> DataFrame:
-    """Access-log rows with an arrival key: arrival = ts + (k % 25) minutes, then event_id.
+    """Access-log rows with an arrival time: ``ts + (k % 25) minutes`` (ties by event_id).
 
-    The table is in time order; this shifts rows so that some arrive after
-    younger rows, which is what the late-row operator classifies.
+    The table is in time order; the shift makes some rows arrive after younger
+    rows, which is what the late-row operator classifies.
     """
-    k = prop_k()
-    return access_log(ev).join(
-        ev.select("event_id", (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), k % 25)).alias("arrival_ts")),
-        "event_id",
-    )
+    shifted = ev.withColumn("arrival_ts", F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), prop_k() % 25))
+    return access_log(shifted, extra=["arrival_ts"])
