@@ -1,0 +1,172 @@
+"""Stream = batch: each streaming form, replayed over the sf0.01 events split
+into time-ordered files (one micro-batch each), equals its batch operator.
+
+Far-future flush rows of a key no detector reports (user -1, tx ids no other
+row has) push the watermark past every real row at the end.
+"""
+
+import datetime as dt
+import os
+import tempfile
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import blacklist, counts, logins, orders, payments, topn, uniques
+from tidemark.sources import adapters as ad
+from tidemark.streaming import joins as sj
+from tidemark.streaming import replay, sinks
+from tidemark.streaming import windows as sw
+from tidemark.streaming.sources import event_time, read_parquet_stream
+
+SF = "/root/testdata/sf0.01"
+FILES = 4
+# Flush ids are multiples of 4: +0 and +3 / +4 fall on the pay side, +1 / +2 on the receipt side.
+FLUSH_BASES = [10**12, 10**12 + 8, 10**12 + 16]
+FLUSH_TYPES = ["click", "error", "purchase", "signup", "view"]
+FLUSH_TX = [f"t{(b + i) // 2}" for b in FLUSH_BASES for i in range(len(FLUSH_TYPES))]
+FLUSH_ORDER_MIN = 10**12 // 2
+
+
+@pytest.fixture(scope="module")
+def stream_env(spark):
+    root = tempfile.mkdtemp(prefix="tidemark-stream-", dir="/tmp")
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    src = os.path.join(root, "events")
+    bounds = ev.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")),
+                                           [i / FILES for i in range(1, FILES)]).alias("q")).first().q
+    cuts = [None, *bounds, None]
+    for i in range(FILES):
+        part = ev
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        if cuts[i] is not None:
+            part = part.where(us > cuts[i])
+        if cuts[i + 1] is not None:
+            part = part.where(us <= cuts[i + 1])
+        part.coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    max_ts = ev.agg(F.max("ts")).first()[0]
+    for j, base in enumerate(FLUSH_BASES):
+        # one row per event type, so every adapter's filter lets one through
+        rows = [(base + i, -1, t, 0.0, '{"k": 0}') for i, t in enumerate(FLUSH_TYPES)]
+        flush = spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, "
+                                            "props string")
+        flush = flush.withColumn("ts", F.lit(max_ts).cast("timestamp_ntz") + F.expr(f"INTERVAL {30 * (j + 1)} DAYS"))
+        flush.select(*ev.columns).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    stream = event_time(read_parquet_stream(spark, src, ev.schema, max_files_per_trigger=1), "ts", "0 seconds")
+    return {"root": root, "stream": stream, "batch": ev, "max_ts": max_ts, "spark": spark}
+
+
+def _unique(env, name):
+    """Checkpoints live under the shared checkpoint folder by query name; a fresh name per test run."""
+    return f"{name}-{os.path.basename(env['root'])}"
+
+
+def _run(env, df, name, mode="append"):
+    path = os.path.join(env["root"], "out", name)
+    q = sinks.to_files(df, path, _unique(env, name), output_mode=mode)
+    sinks.run_to_end([q])
+    return env["spark"].read.parquet(path)
+
+
+def _run_batches(env, df, name, writer_factory, mode="append"):
+    path = os.path.join(env["root"], "out", name)
+    q = sinks.foreach_batch(df, writer_factory(path), _unique(env, name), output_mode=mode)
+    sinks.run_to_end([q])
+    return env["spark"].read.parquet(path)
+
+
+def _same(a, b, cols=None):
+    cols = cols or sorted(b.columns)
+    a, b = a.select(*cols), b.select(*cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _real(df, col):
+    return df.where(F.col(col) >= 0)
+
+
+def _until(env, df, col="window_end"):
+    """Drop the windows of the far-future flush rows."""
+    return df.where(F.col(col) <= env["max_ts"] + dt.timedelta(hours=1))
+
+
+def _ntz(df, *cols):
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def test_window_counts_stream(stream_env):
+    s = ad.ad_clicks(stream_env["stream"])
+    got = _run(stream_env, sw.window_counts(s, "ts", ["province"], "1 hour", "5 minutes"), "province")
+    got = _until(stream_env, _ntz(got, "window_start", "window_end"))
+    want = counts.province_ad_counts(ad.ad_clicks(stream_env["batch"]), "1 hour", "5 minutes")
+    _same(got, want)
+
+
+def test_top_n_stream(stream_env):
+    s = ad.user_behavior(stream_env["stream"]).where(F.col("behavior") == "pv")
+    cnt = sw.window_counts(s, "ts", ["item_id"], "1 hour", "5 minutes")
+    got = _run_batches(stream_env, cnt, "hot_items", lambda p: sw.top_n_writer("item_id", 5, sinks.batch_log(p)))
+    got = _until(stream_env, _ntz(got.drop("batch_id"), "window_end"))
+    want = topn.hot_items(ad.user_behavior(stream_env["batch"]), 5, "1 hour", "5 minutes")
+    _same(got, want)
+
+
+def test_uv_streams(stream_env):
+    s = ad.user_behavior(stream_env["stream"])
+    exact = _until(stream_env, _ntz(_run(stream_env, sw.uv_counts(s, "1 hour"), "uv_exact"), "window_end"))
+    _same(exact, uniques.uv_exact(ad.user_behavior(stream_env["batch"])))
+
+    log = _run_batches(stream_env, sw.uv_bitmap_updates(s, "1 hour"), "uv_bits", sinks.batch_log, mode="update")
+    running = _until(stream_env, _ntz(sw.uv_running_totals(log), "window_end"))
+    _same(running, uniques.uv_bitmap(ad.user_behavior(stream_env["batch"])))
+
+
+def test_interval_join_and_reconcile_stream(stream_env):
+    s, b = stream_env["stream"], stream_env["batch"]
+    got = _ntz(_run(stream_env, sj.interval_join(ad.pay_events(s), ad.receipts(s), "-3 minutes", "5 minutes"),
+                    "interval_join"), "pay_ts", "receipt_ts").where(~F.col("tx_id").isin(FLUSH_TX))
+    _same(got, payments.interval_join(ad.pay_events(b), ad.receipts(b), "-3 minutes", "5 minutes"))
+
+    rec = _ntz(_run(stream_env, sj.reconcile(ad.pay_events(s), ad.receipts(s), "5 minutes"), "reconcile"),
+               "pay_ts", "receipt_ts")
+    rec = rec.where(~F.col("tx_id").isin(FLUSH_TX))
+    _same(rec, payments.reconcile(ad.pay_events(b), ad.receipts(b), "5 minutes"))
+
+
+def test_login_streams(stream_env):
+    s, b = stream_env["stream"], stream_env["batch"]
+    ep = _real(_run(stream_env, replay.login_fail_episodes(ad.logins(s), "6 hours", 2),
+                    "episodes"), "user_id")
+    _same(ep, logins.fail_episodes(ad.logins(b), "6 hours", 2))
+    runs = _real(_run(stream_env, replay.login_fail_runs(ad.logins(s), 2, "5 hours"), "runs"),
+                 "user_id")
+    _same(runs, logins.fail_runs(ad.logins(b), 2, "5 hours"))
+    pairs = _real(_run(stream_env, replay.login_fail_runs(ad.logins(s), 2, "2 hours", inclusive=True), "pairs"), "user_id")
+    _same(pairs.drop("fails"), logins.fail_pairs(ad.logins(b), "2 hours"))
+
+
+def test_order_timeout_stream(stream_env):
+    s, b = stream_env["stream"], stream_env["batch"]
+    got = _run(stream_env, replay.order_payment_events(ad.order_events(s), "5 minutes", "1 hour"), "orders")
+    got = got.where(F.col("order_id") < FLUSH_ORDER_MIN)
+    # an order that timed out and was paid later reports twice; its final word is 'payed timeout'
+    final = got.where(~((F.col("status") == "pay timeout") & F.col("order_id").isin(
+        [r.order_id for r in got.where(F.col("status") == "payed timeout").select("order_id").collect()])))
+    want = orders.payment_status(ad.order_events(b), "5 minutes")
+    _same(final.select("order_id", "status"), want.select("order_id", "status"))
+
+
+def test_blacklist_stream(stream_env):
+    s, b = stream_env["stream"], stream_env["batch"]
+    got = _real(_run(stream_env, replay.ad_click_numbers(ad.ad_clicks(s), max_click=2), "clicks"), "user_id")
+    warn = got.where(F.col("kind") == "warning").select("user_id", "ad_id", "day", "event_id")
+    _same(warn, blacklist.blacklist_warnings(ad.ad_clicks(b), max_click=2).select("user_id", "ad_id", "day",
+                                                                                    "event_id"))
+    allowed = got.where(F.col("kind") == "allowed").select("event_id")
+    _same(allowed, blacklist.allowed_clicks(ad.ad_clicks(b), max_click=2).select("event_id"))

@@ -30,6 +30,15 @@ def seconds(n: float) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(n))
 
 
+def interval_literal(us: int) -> Column:
+    """A day-time interval *literal* of ``us`` microseconds (sign allowed).
+
+    Stream-stream joins read state-eviction bounds only from literal
+    intervals, so range conditions use this rather than ``seconds``.
+    """
+    return F.expr(f"INTERVAL '{us / 1_000_000:.6f}' SECOND")
+
+
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
