@@ -170,3 +170,48 @@ def test_blacklist_stream(stream_env):
                                                                                     "event_id"))
     allowed = got.where(F.col("kind") == "allowed").select("event_id")
     _same(allowed, blacklist.allowed_clicks(ad.ad_clicks(b), max_click=2).select("event_id"))
+
+
+def test_late_rows_stream(spark):
+    """Rows arrive in ``late_arrivals`` order, in sixteen files; each file's rows see the
+    watermark of the files before it."""
+    from pyspark.sql import Window
+
+    from tidemark.streaming.late import late_rows_writer
+
+    n_files, size_us, slide_us, bound_us, late_us = 16, 60_000_000, 60_000_000, 0, 0
+    root = tempfile.mkdtemp(prefix="tidemark-late-", dir="/tmp")
+    log = ad.late_arrivals(spark.read.parquet(f"{SF}/events.parquet"))
+    a = F.unix_micros(F.col("arrival_ts").cast("timestamp"))
+    cuts = log.select(F.percentile_approx(a, [i / n_files for i in range(1, n_files)]).alias("q")).first().q
+    edges = [None, *cuts, None]
+    src = os.path.join(root, "in")
+    for i in range(n_files):
+        part = log
+        if edges[i] is not None:
+            part = part.where(a > edges[i])
+        if edges[i + 1] is not None:
+            part = part.where(a <= edges[i + 1])
+        part.coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    stream = read_parquet_stream(spark, src, log.schema, max_files_per_trigger=1)
+    out = os.path.join(root, "late")
+    writer = late_rows_writer(out, os.path.join(root, "wm"), size=f"{size_us} microseconds",
+                              slide=f"{slide_us} microseconds", bound="0 seconds", lateness="0 seconds",
+                              method="GET")
+    q = sinks.foreach_batch(stream, writer, f"late-{os.path.basename(root)}")
+    sinks.run_to_end([q])
+    got = spark.read.parquet(out).drop("batch_id")
+
+    # expected: file index per row; watermark = max event time of earlier files - bound
+    f = sum((a > c).cast("int") for c in cuts)
+    t = F.unix_micros(F.col("event_time").cast("timestamp"))
+    idx = log.withColumn("f", f).withColumn("t", t)
+    per_file = idx.groupBy("f").agg(F.max("t").alias("m"))
+    wm = per_file.select("f", (F.max("m").over(Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1))
+                               - bound_us).alias("wm"))
+    last_end = F.floor(F.col("t") / slide_us) * slide_us + size_us
+    want = (idx.join(wm, "f").where((F.col("method") == "GET") & (last_end - 1000 + late_us <= F.col("wm")))
+            .withColumn("watermark", F.timestamp_micros("wm").cast("timestamp_ntz")).drop("f", "t", "wm"))
+    assert want.count() > 0
+    _same(got.withColumn("watermark", F.col("watermark").cast("timestamp_ntz")), want)
