@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, micros_to_ts
-from ..plans.ordered import HOUR_US, running, ts_bucket
+from ..plans.ordered import MINUTE_US, running, ts_bucket
 from ..plans.sliding import duration_us
 
 
 def late_rows(log: DataFrame, arrival: str = "arrival_ts", ts: str = "event_time", size: str = "10 minutes",
               slide: str = "5 seconds", bound: str = "1 second", lateness: str = "60 seconds",
-              method: str | None = "GET", bucket_us: int = HOUR_US) -> DataFrame:
+              method: str | None = "GET", bucket_us: int = MINUTE_US) -> DataFrame:
     """Rows of ``log`` that miss all their windows -> input columns + ``watermark``."""
     size_us, slide_us = duration_us(size), duration_us(slide)
     b_us, late_us = duration_us(bound), duration_us(lateness)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros
-from ..plans.ordered import DAY_US, running, ts_bucket
+from ..plans.ordered import MINUTE_US, running, ts_bucket
 from ..plans.sliding import duration_us
 
 
@@ -49,7 +49,7 @@ def _signed_us(text: str) -> int:
 
 
 def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-              bucket_us: int = DAY_US) -> DataFrame:
+              bucket_us: int = MINUTE_US) -> DataFrame:
     """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - every pay and receipt exactly once."""
     tol = duration_us(tolerance)
     order = ["ts", "event_id"]
