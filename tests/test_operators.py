@@ -268,3 +268,13 @@ def test_late_rows(spark):
     assert sorted(r.event_id for r in late.collect()) == [3]
     assert lateness.late_rows(df, size="60 seconds", slide="5 seconds", bound="1 second", lateness="10 seconds",
                               method=None).count() == 2
+
+
+def test_render_rankings(spark):
+    h = 1_558_429_200
+    rows = [(i, 1, item, 0, "pv", h + 10 + i) for i, item in enumerate([7, 7, 8])]
+    df = frame(spark, "event_id bigint, user_id bigint, item_id bigint, category_id int, behavior string, "
+                      "ts_sec bigint", rows)
+    ranked = topn.hot_items(df, n=5, size="1 hour", slide="5 minutes")
+    text = topn.render_rankings(ranked, "item_id").where(secs("window_end") == h + 3600).first().text
+    assert text == "window end 2019-05-21 10:00:00.0: 1. item_id=7 (2); 2. item_id=8 (1)"

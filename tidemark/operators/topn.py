@@ -29,3 +29,19 @@ def hot_urls(
     counts = url_window_counts(log, size, slide, strategy=strategy)
     ranked = top_k(counts, ["window_end"], [F.col("cnt").desc(), F.col("url")], n)
     return ranked.select("window_end", "rank", "url", "cnt")
+
+
+def render_rankings(ranked: DataFrame, key: str) -> DataFrame:
+    """One display line per window from a top-N result -> (window_end, text).
+
+    Only the already-cut top-N rows of a window are gathered (at most N per
+    group), ordered by rank; the structured rows remain the primary result.
+    """
+    from ..functions.timecols import render_window_end
+
+    entry = F.format_string("%d. %s=%s (%d)", F.col("rank"), F.lit(key), F.col(key).cast("string"), F.col("cnt"))
+    per_window = ranked.groupBy("window_end").agg(
+        F.array_sort(F.collect_list(F.struct("rank", entry.alias("e")))).alias("rows"))
+    text = F.concat(F.lit("window end "), render_window_end(F.col("window_end")), F.lit(": "),
+                    F.array_join(F.transform("rows", lambda r: r["e"]), "; "))
+    return per_window.select("window_end", text.alias("text"))
