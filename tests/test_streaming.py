@@ -172,6 +172,29 @@ def test_blacklist_stream(stream_env):
     _same(allowed, blacklist.allowed_clicks(ad.ad_clicks(b), max_click=2).select("event_id"))
 
 
+def test_pv_update_mode_upsert(stream_env):
+    """K3: update-mode PV, each micro-batch overwriting the windows it touched."""
+    s = ad.user_behavior(stream_env["stream"])
+    got = _run_batches(stream_env, sw.pv_counts(s, "1 hour"), "pv_upsert", sinks.upsert_windows, mode="update")
+    got = _until(stream_env, _ntz(got.drop("_w"), "window_end"))
+    _same(got, counts.pv_counts(ad.user_behavior(stream_env["batch"]), "1 hour"))
+
+
+def test_split_sink(stream_env):
+    """K2: one stream, one table per kind."""
+    s, b = stream_env["stream"], stream_env["batch"]
+    out = os.path.join(stream_env["root"], "out", "split")
+    paths = {"allowed": os.path.join(out, "allowed"), "warning": os.path.join(out, "warning")}
+    q = sinks.foreach_batch(replay.ad_click_numbers(ad.ad_clicks(s), max_click=2),
+                            sinks.split_by("kind", paths), _unique(stream_env, "split"))
+    sinks.run_to_end([q])
+    spark = stream_env["spark"]
+    warn = _real(spark.read.parquet(paths["warning"]), "user_id").select("event_id")
+    _same(warn, blacklist.blacklist_warnings(ad.ad_clicks(b), max_click=2).select("event_id"))
+    allowed = _real(spark.read.parquet(paths["allowed"]), "user_id").select("event_id")
+    _same(allowed, blacklist.allowed_clicks(ad.ad_clicks(b), max_click=2).select("event_id"))
+
+
 def test_late_rows_stream(spark):
     """Rows arrive in ``late_arrivals`` order, in sixteen files; each file's rows see the
     watermark of the files before it."""
