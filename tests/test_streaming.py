@@ -117,6 +117,15 @@ def test_top_n_stream(stream_env):
     _same(got, want)
 
 
+def test_hot_urls_update_mode(stream_env):
+    """T2 corrections: update-mode counts logged per batch, latest count per (window, url) ranked."""
+    s = ad.access_log(stream_env["stream"]).withColumnRenamed("event_time", "ts").where(F.col("method") == "GET")
+    cnt = sw.window_counts(s, "ts", ["url"], "10 minutes", "1 minute")
+    log = _run_batches(stream_env, cnt, "hot_urls_upd", sinks.batch_log, mode="update")
+    got = _until(stream_env, _ntz(sw.latest_top_n(log, "url", 5), "window_end"))
+    _same(got, topn.hot_urls(ad.access_log(stream_env["batch"]), 5, "10 minutes", "1 minute"))
+
+
 def test_uv_streams(stream_env):
     s = ad.user_behavior(stream_env["stream"])
     exact = _until(stream_env, _ntz(_run(stream_env, sw.uv_counts(s, "1 hour"), "uv_exact"), "window_end"))
