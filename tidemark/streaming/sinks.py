@@ -71,14 +71,8 @@ def upsert_windows(path: str, window_col: str = "window_end") -> Callable[[DataF
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmss"))
-             .write.mode("overwrite").partitionBy("_w").parquet(path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmss"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_w").parquet(path))
 
     return write
 
