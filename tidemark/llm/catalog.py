@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rules_forest, sharding, token_counts
+from . import bpe, rules_forest, sharding, token_counts
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,10 +35,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded text."""
+    return bpe.decode(bpe.encode(docs, path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_sharding": op3_sharding,
+    "op4_bpe": op4_bpe,
 }
 
 ORACLE: dict[str, str] = {}

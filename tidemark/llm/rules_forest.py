@@ -3,8 +3,9 @@
 Each document is reduced to a few length-free rule statistics (symbol, repeat,
 capital and punctuation shares, ...).  Random trees over a bounded sample of
 labelled rows split a random statistic at a random point; documents that land
-on short paths are anomalous.  The threshold on the path-length score comes
-from the scores of *all* labelled rows.  The statistics table (a few dozen
+on short paths are anomalous.  The threshold on the path-length score is
+calibrated on *all* labelled rows that pass the base rule: the score edge with
+the best sum of bad rows above it and good rows below it, as shares.  The statistics table (a few dozen
 bytes a document) is written once; the forest is a few hundred KB.
 
 Cases: a null text is an empty one (all counts 0, base rule fails); repeated
@@ -24,20 +25,26 @@ from pyspark.sql import functions as F
 from . import textstats as ts
 from .tables import keep
 
-TREES = 200
-SAMPLE = 256  # rows per tree; TREES * SAMPLE labelled rows at most are gathered for the fit
+TREES = 100
+TREE_ROWS = 1024  # rows drawn for each tree
+SAMPLE_ROWS = 25_600  # bound of the labelled rows gathered for the fit
+DEPTH = 4  # splits on a path: enough to cut off junk, too few to cut off the tails of ordinary documents
 BINS = 1000  # score bins of the calibration histogram
-SPARE_GOOD = 0.998  # calibration: at least this share of the good labelled rows stays
+# The statistics that the base rule does not cover already.
+SPLIT_ON = ("word_length", "symbols", "upper", "shout")
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
 def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, the integer counts of ``textstats.COUNTS`` and a ``features`` array per document."""
 
+    columns = [ts.RATIOS.index(c) for c in SPLIT_ON]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in ts.slices(batch.column(1)):
                 s = ts.statistics(texts)
-                feats = ts.ratios(s)
+                feats = ts.ratios(s)[:, columns]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), *[pa.array(s[c], pa.int64()) for c in ts.COUNTS],
                      pa.FixedSizeListArray.from_arrays(pa.array(feats.ravel()), feats.shape[1]).cast(
@@ -51,10 +58,10 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 class Forest:
     """Isolation trees as flat arrays: node i splits ``feature[i] < at[i]`` to its left child, else the right."""
 
-    def __init__(self, sample: np.ndarray, trees: int, size: int, seed: int):
+    def __init__(self, sample: np.ndarray, trees: int, size: int, depth: int, seed: int):
         rng = np.random.default_rng(seed)
         size = min(size, len(sample))
-        self.limit = max(1, int(np.ceil(np.log2(max(size, 2)))))
+        self.limit = depth
         self.scale = _average_path(size)
         self.trees = [self._grow(sample[rng.permutation(len(sample))[:size]], rng) for _ in range(trees)]
 
@@ -110,16 +117,16 @@ def with_scores(stats: DataFrame, forest: Forest, out: str = "anomaly") -> DataF
     return stats.mapInArrow(run, stats.withColumn(out, F.lit(0.0)).schema)
 
 
-def fit(stats: DataFrame, labelled: DataFrame, id_col: str, label_col: str, trees: int = TREES, size: int = SAMPLE,
-        seed: int = 7) -> tuple[Forest, float] | None:
+def fit(stats: DataFrame, labelled: DataFrame, id_col: str, label_col: str, trees: int = TREES, size: int = TREE_ROWS,
+        depth: int = DEPTH, sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> tuple[Forest, float] | None:
     """Forest from a bounded sample of the labelled rows; threshold from all of them (None: no usable labels)."""
     marks = labelled.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_label"))
-    known = stats.select(id_col, "features").join(marks, id_col)
+    known = stats.where(f"NOT ({BASE_FAILED})").select(id_col, "features").join(marks, id_col)
     sample = (known.select(F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), "features")
-              .orderBy("h", "features").limit(trees * size).toPandas()["features"])
+              .orderBy("h", "features").limit(sample_rows).toPandas()["features"])
     if len(sample) < 2:
         return None
-    forest = Forest(np.array(sample.tolist(), dtype=np.float64), trees, size, seed)
+    forest = Forest(np.array(sample.tolist(), dtype=np.float64), trees, size, depth, seed)
     scored = with_scores(known.select("features", "_label"), forest)
     hist = np.zeros((BINS, 2))
     for b, label, n in (scored.groupBy(F.least(F.floor(F.col("anomaly") * BINS), F.lit(BINS - 1)).alias("b"),
@@ -128,11 +135,10 @@ def fit(stats: DataFrame, labelled: DataFrame, id_col: str, label_col: str, tree
     return None if hist.sum(0).min() == 0 else (forest, calibrate(hist))
 
 
-def calibrate(hist: np.ndarray, spare: float = SPARE_GOOD) -> float:
-    """Lowest score edge above which at most ``1 - spare`` of the good rows lie."""
-    good_above = np.cumsum(hist[::-1, 1])[::-1] / max(hist[:, 1].sum(), 1)
-    ok = np.flatnonzero(good_above <= 1 - spare)
-    return (ok[0] if len(ok) else BINS) / BINS
+def calibrate(hist: np.ndarray) -> float:
+    """Score edge with the largest (share of bad rows at or above it) - (share of good rows there)."""
+    above = np.cumsum(hist[::-1], axis=0)[::-1] / hist.sum(0)
+    return int(np.argmax(above[:, 0] - above[:, 1])) / BINS
 
 
 def apply_rules(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -140,7 +146,7 @@ def apply_rules(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", te
     """Base rule counts, anomaly score and verdict for every document."""
     stats = keep(rule_statistics(docs, id_col, text_col), "rule_stats")
     model = fit(stats, labelled, id_col, label_col)
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base_failed = F.expr(BASE_FAILED)
     if model is None:
         scored, odd = stats.withColumn("anomaly", F.lit(0.0)), F.lit(False)
     else:
