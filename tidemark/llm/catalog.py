@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, rules_forest, sharding, token_counts
+from . import bpe, fm_quality, rules_forest, sharding, token_counts
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,11 +47,20 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fm_quality.fit(docs, fm_quality.training_rows(read(spark, sf_dir, "labels")))
+    return fm_quality.with_scores(docs, model, keep=["doc_id"]).select(
+        "doc_id", fm_quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
+    "op5_quality_classifier": op5_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
