@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fm_quality, rules_forest, sharding, token_counts
-from .tables import read
+from . import bpe, fm_quality, mixing, rules_forest, sharding, token_counts
+from .mixing import Level
+from .tables import keep, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,12 +56,80 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+# Parameters of the mix: the token budget as a share of the corpus, epochs allowed, weights of the tree's values.
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (1, 1), 2, 17
+MIX_LEVELS = (
+    Level("domain", {"domain0": 4, "domain1": 3, "domain2": 2}),
+    Level("lang", {"en": 5, "de": 2, "fr": 2}),
+    Level("source"),
+)
+
+
+def mix_rows(docs: DataFrame) -> DataFrame:
+    """Id, tree columns and word count of every document; the domain is a rule on the source's last digit."""
+    digit = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9])$", 1)
+    return docs.select(
+        "doc_id",
+        F.when(digit != "", F.concat(F.lit("domain"), (digit.cast("int") % 4).cast("string"))).otherwise(
+            F.lit("unknown")).alias("domain"),
+        F.coalesce("lang", F.lit("unknown")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"),
+        mixing.word_tokens(F.col("text")).alias("tokens"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keep(mix_rows(read(spark, sf_dir, "documents")), "mix_rows")
+    plan = mixing.plan(rows, MIX_LEVELS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return mixing.mix(rows, plan, MIX_LEVELS, MIX_SEED).select(
+        "doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+def _weight_sql(level: Level) -> str:
+    cases = " ".join(f"WHEN {level.column} = '{v}' THEN {w}" for v, w in level.weights.items())
+    return f"CAST(CASE {cases} ELSE {level.other} END AS HUGEINT)" if cases else f"CAST({level.other} AS HUGEINT)"
+
+
+def _mix_sql() -> str:
+    """The mix as DuckDB SQL: one block of windows per tree level, then a running sum per leaf."""
+    names = [lv.column for lv in MIX_LEVELS]
+    parts = [r"""t AS (
+  SELECT doc_id, tokens, lang, source,
+    CASE WHEN digit <> '' THEN 'domain' || CAST(CAST(digit AS INT) % 4 AS VARCHAR) ELSE 'unknown' END AS domain
+  FROM (SELECT doc_id, COALESCE(lang, 'unknown') AS lang, COALESCE(source, 'unknown') AS source,
+    regexp_extract(COALESCE(source, ''), '([0-9])$', 1) AS digit,
+    CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens FROM documents))""",
+             f"""leaf AS (SELECT {', '.join(names)}, SUM(tokens) AS tokens, SUM(tokens) * {MIX_EPOCHS} AS cap
+  FROM t GROUP BY ALL)""",
+             f"""n0 AS (SELECT LEAST(SUM(tokens) * {MIX_SHARE[0]} // {MIX_SHARE[1]}, SUM(cap)) AS budget FROM leaf)"""]
+    for k, lv in enumerate(MIX_LEVELS):
+        mine, above = ", ".join(names[: k + 1]), ", ".join(names[:k])
+        by = f"PARTITION BY {above}" if k else ""
+        prior = f"({by} ORDER BY CAST(cap AS DOUBLE) / CAST(w AS DOUBLE), {lv.column} "                 "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        parts.append(f"""c{k} AS (SELECT * FROM (SELECT {mine}, SUM(cap) AS cap, {_weight_sql(lv)} AS w FROM leaf
+  GROUP BY {mine}) AS q {f'JOIN n{k} USING ({above})' if k else 'CROSS JOIN n0'})""")
+        parts.append(f"""r{k} AS (SELECT *, budget - COALESCE(SUM(cap) OVER {prior}, 0) AS b,
+  SUM(w) OVER ({by}) - COALESCE(SUM(w) OVER {prior}, 0) AS ws FROM c{k})""")
+        parts.append(f"""n{k + 1} AS (SELECT {mine}, CASE WHEN cap * ws <= b * w THEN cap ELSE LEAST(cap,
+  MAX(CASE WHEN cap * ws > b * w THEN b END) OVER ({by}) * w
+  // MAX(CASE WHEN cap * ws > b * w THEN ws END) OVER ({by})) END AS budget FROM r{k})""")
+    using = ", ".join(names)
+    parts.append(f"""goal AS (SELECT {using}, budget // tokens AS full_epochs, budget % tokens AS rest
+  FROM leaf JOIN n{len(names)} USING ({using}) WHERE tokens > 0)""")
+    parts.append(f"""keyed AS (SELECT t.*, full_epochs, rest,
+  md5('{MIX_SEED}:' || CAST(full_epochs AS VARCHAR) || ':' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM t JOIN goal USING ({using}))""")
+    parts.append(f"""run AS (SELECT *, SUM(tokens) OVER (PARTITION BY {using} ORDER BY k) AS upto FROM keyed)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, {using}, tokens, CAST(UNNEST(range(CAST(full_epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END
+  AS BIGINT))) AS INT) AS epoch FROM run"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_quality_classifier": op5_quality_classifier,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_mixing": _mix_sql()}
