@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fm_quality, mixing, rules_forest, sharding, token_counts
+from . import bpe, chosen_path, fm_quality, mixing, rules_forest, sharding, token_counts
 from .mixing import Level
 from .tables import keep, read
 
@@ -56,6 +56,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.jaccard_join(read(spark, sf_dir, "documents"), similarity=0.8, n=5)
+
+
 # Parameters of the mix: the token budget as a share of the corpus, epochs allowed, weights of the tree's values.
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (1, 1), 2, 17
 MIX_LEVELS = (
@@ -129,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 
