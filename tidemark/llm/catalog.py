@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chosen_path, fm_quality, mixing, rules_forest, sharding, token_counts
+from . import bpe, chosen_path, fm_quality, mixing, pii_bootstrap, rules_forest, sharding, token_counts
 from .mixing import Level
 from .tables import keep, read
 
@@ -60,6 +60,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(read(spark, sf_dir, "documents"), similarity=0.8, n=5)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_bootstrap.find(read(spark, sf_dir, "documents"))
+    counts = [F.size(pii_bootstrap.of_kind(F.col("base"), k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii_bootstrap.KINDS)]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii_bootstrap.render(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii_bootstrap.render(F.col("spans")).alias("spans"))
+
+
 # Parameters of the mix: the token budget as a share of the corpus, epochs allowed, weights of the tree's values.
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = (1, 1), 2, 17
 MIX_LEVELS = (
@@ -134,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
 }
 
