@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chosen_path, fm_quality, mixing, pii_bootstrap, rules_forest, sharding, token_counts
+from . import bpe, chosen_path, deleted_interp, fm_quality, mixing, pii_bootstrap, rules_forest, sharding, token_counts
 from .mixing import Level
-from .tables import keep, read
+from .tables import crc32_mod, keep, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted_interp.score(read(spark, sf_dir, "documents"), held_out=crc32_mod("doc_id", 5) == 1)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(read(spark, sf_dir, "documents"), similarity=0.8, n=5)
 
@@ -142,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
