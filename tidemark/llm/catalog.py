@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chosen_path, deleted_interp, fm_quality, mixing, pii_bootstrap, rules_forest, sharding, token_counts
+from . import bpe, chosen_path, deleted_interp, fm_quality, mixing, multi_index, pii_bootstrap, rules_forest, sharding, token_counts
 from .mixing import Level
 from .tables import crc32_mod, keep, read
 
@@ -56,6 +56,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, F.col("id") % 20 == 0, k=20)
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interp.score(read(spark, sf_dir, "documents"), held_out=crc32_mod("doc_id", 5) == 1)
 
@@ -146,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_pii": op9_pii,
