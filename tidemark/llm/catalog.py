@@ -14,7 +14,7 @@ from .tables import crc32_mod, keep, read
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -27,7 +27,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(read(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return bpe_digests(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,15 +87,17 @@ MIX_LEVELS = (
 )
 
 
-def mix_rows(docs: DataFrame) -> DataFrame:
-    """Id, tree columns and word count of every document; the domain is a rule on the source's last digit."""
+def tree_columns() -> list:
+    """The tree of the mix: domain (a rule on the source's last digit), language, source."""
     digit = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9])$", 1)
-    return docs.select(
-        "doc_id",
-        F.when(digit != "", F.concat(F.lit("domain"), (digit.cast("int") % 4).cast("string"))).otherwise(
-            F.lit("unknown")).alias("domain"),
-        F.coalesce("lang", F.lit("unknown")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"),
-        mixing.word_tokens(F.col("text")).alias("tokens"))
+    domain = F.when(digit != "", F.concat(F.lit("domain"), (digit.cast("int") % 4).cast("string")))
+    return [F.coalesce(domain, F.lit("unknown")).alias("domain"), F.coalesce("lang", F.lit("unknown")).alias("lang"),
+            F.coalesce("source", F.lit("unknown")).alias("source")]
+
+
+def mix_rows(docs: DataFrame) -> DataFrame:
+    """Id, tree columns and word count of every document."""
+    return docs.select("doc_id", *tree_columns(), mixing.word_tokens(F.col("text")).alias("tokens"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

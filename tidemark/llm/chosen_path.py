@@ -366,3 +366,17 @@ def jaccard_join(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: f
         F.col("id").alias(id_col), F.coalesce("m", "rep", "id").alias("class_id"),
         F.coalesce("rep", "id").alias("copy_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The document of smallest id of each class (``jaccard_join``'s result), once if its row is repeated.
+
+    Rows without an id stay unless all of them are copies of a row that has one.
+    """
+    stay = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy(F.col(id_col).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    kept = docs.join(stay.select("_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    if stay.where("_n > 1 AND _id IS NOT NULL").isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
+        kept.where(F.col(id_col).isNull()))

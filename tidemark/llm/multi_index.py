@@ -7,9 +7,10 @@ lists) until the cells hold enough vectors, and the entries of these cells are
 reranked by the exact inner product.
 
 The codebooks are fitted on a bounded sample (``SAMPLE`` vectors of smallest
-hash); every vector is indexed.  Entries are dealt by first centroid, large cells
-split over several blocks, queries in blocks of ``QUERY_BLOCK``; a task holds one
-block of entries and one of queries, and returns the best few of each query.
+hash); every vector is indexed.  Entries are dealt by groups of first centroids,
+large groups split over several blocks, queries in blocks of ``QUERY_BLOCK``; a
+task holds one block of entries and one of queries, and returns the best few of
+each query.
 
 Cases: vectors that are null, empty, zero, hold null or non-finite components, or
 differ from the most common length take no part; equal scores rank by smaller
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 
 from .tables import keep
 
-CENTROIDS = 32  # per half; CENTROIDS ** 2 cells
+CENTROIDS = 128  # per half; CENTROIDS ** 2 cells
+PARTS = 16  # groups of first centroids by which entries are dealt
 SAMPLE = 16_384
 KMEANS_ROUNDS = 15
-PROBE = 0.25  # share of the vectors that a query's cells hold at least
+PROBE = 0.45  # share of the vectors that a query's cells hold at least
 LEAST = 2_000  # and at least so many vectors
 ENTRY_BLOCK = 16_384
 QUERY_BLOCK = 1_024
@@ -78,6 +80,9 @@ class Codebooks:
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return nearest(x[:, : self.half], self.first), nearest(x[:, self.half:], self.second)
 
+    def number(self, c1, c2):
+        return c1 * len(self.second) + c2
+
     def walk(self, q: np.ndarray, sizes: np.ndarray, enough: int) -> list[tuple[int, int]]:
         """Cells by falling sum of the two inner products, until they hold ``enough`` vectors."""
         a, b = self.first @ q[: self.half], self.second @ q[self.half:]
@@ -102,32 +107,33 @@ def _assign(rows: DataFrame, books: Codebooks, id_type: str) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 c1, c2 = books.cells(_matrix(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(c1, pa.int32()), pa.array(c2, pa.int32())],
-                                                 names=["id", "vec", "c1", "c2"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(c1 % PARTS, pa.int32()), pa.array(books.number(c1, c2), pa.int32())],
+                    names=["id", "vec", "part", "cell"])
 
-    return rows.mapInArrow(run, f"id {id_type}, vec array<double>, c1 int, c2 int")
+    return rows.mapInArrow(run, f"id {id_type}, vec array<double>, part int, cell int")
 
 
 def _probes(queries: DataFrame, books: Codebooks, sizes: np.ndarray, enough: int, id_type: str) -> DataFrame:
-    """One row per query and first centroid on its walk, with the second centroids to look at."""
+    """One row per query and part on its walk, with the cells to look at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            take, c1, c2 = [], [], []
+            take, parts, cells = [], [], []
             for row, q in enumerate(_matrix(batch.column(1)) if batch.num_rows else []):
-                by_first: dict[int, list[int]] = {}
+                by_part: dict[int, list[int]] = {}
                 for i, j in books.walk(q, sizes, enough):
-                    by_first.setdefault(i, []).append(j)
-                for i, js in by_first.items():
+                    by_part.setdefault(i % PARTS, []).append(books.number(i, j))
+                for part, own in by_part.items():
                     take.append(row)
-                    c1.append(i)
-                    c2.append(js)
+                    parts.append(part)
+                    cells.append(own)
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(c1, pa.int32()),
-                 pa.array(c2, pa.list_(pa.int32()))], names=["id", "vec", "c1", "c2s"])
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(parts, pa.int32()),
+                 pa.array(cells, pa.list_(pa.int32()))], names=["id", "vec", "part", "cells"])
 
-    return queries.mapInArrow(run, f"id {id_type}, vec array<double>, c1 int, c2s array<int>")
+    return queries.mapInArrow(run, f"id {id_type}, vec array<double>, part int, cells array<int>")
 
 
 def _rerank(probes: DataFrame, entries: DataFrame, k: int, id_type: str) -> DataFrame:
@@ -138,28 +144,22 @@ def _rerank(probes: DataFrame, entries: DataFrame, k: int, id_type: str) -> Data
         if queries.num_rows and block.num_rows:
             q_ids, v_ids = queries.column("id"), block.column("id")
             x, y = _matrix(queries.column("vec").combine_chunks()), _matrix(block.column("vec").combine_chunks())
-            c2 = block.column("c2").to_numpy()
-            order = np.lexsort((v_ids.to_numpy(), c2))
-            y, c2 = y[order], c2[order]
-            ids = v_ids.to_numpy()[order]
-            own = q_ids.to_numpy()
-            for row, cells in enumerate(queries.column("c2s").to_pylist()):
-                spans = [np.arange(np.searchsorted(c2, c, "left"), np.searchsorted(c2, c, "right")) for c in cells]
-                at = np.concatenate(spans)
-                at = at[ids[at] != own[row]]
+            cell, ids, own = (c.to_numpy() for c in (block.column("cell"), v_ids, q_ids))
+            for row, cells in enumerate(queries.column("cells").to_numpy()):
+                at = np.flatnonzero(np.isin(cell, cells) & (ids != own[row]))
                 score = y[at] @ x[row]
                 if len(at) > 4 * k:
                     edge = np.partition(score, len(score) - k)[len(score) - k]
                     at, score = at[score >= edge], score[score >= edge]
                 best = np.lexsort((ids[at], -score))[:k]
                 out_q.append(np.full(len(best), row))
-                out_v.append(order[at[best]])
+                out_v.append(at[best])
                 out_s.append(score[best])
         flat = lambda x, kind: pa.array(np.concatenate(x or [np.zeros(0)]).astype(kind))
         return pa.table([queries.column("id").take(flat(out_q, np.int64)), block.column("id").take(flat(out_v, np.int64)),
                          flat(out_s, np.float64)], names=["query_id", "vec_id", "score"])
 
-    keys = ["c1", "_eb", "_qb"]
+    keys = ["part", "_eb", "_qb"]
     return probes.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(
         run, f"query_id {id_type}, vec_id {id_type}, score double")
 
@@ -177,12 +177,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = C
     books = Codebooks(np.array(sample.tolist()), min(centroids, len(sample)))
     index = keep(_assign(rows, books, id_type), "index")
     sizes = np.zeros((len(books.first), len(books.second)), np.int64)
-    for c1, c2, n in index.groupBy("c1", "c2").count().collect():  # at most one row per cell
-        sizes[c1, c2] = n
+    for cell, n in index.groupBy("cell").count().collect():  # at most one row per cell
+        sizes.flat[cell] = n
     queries = rows.where(is_query)
-    # Blocks of a first centroid: as many as its entries fill; every block meets every block of queries.
-    fill = {c: max(1, -(-int(n) // ENTRY_BLOCK)) for c, n in enumerate(sizes.sum(1))}
-    entry_blocks = F.element_at(F.create_map(*[F.lit(x) for c, n in fill.items() for x in (c, n)]), F.col("c1"))
+    # Blocks of a part: as many as its entries fill; every block meets every block of queries.
+    fill = [max(1, -(-int(sizes[p::PARTS].sum()) // ENTRY_BLOCK)) for p in range(PARTS)]
+    entry_blocks = F.get(F.array(*[F.lit(n) for n in fill]), F.col("part"))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     enough = max(least, int(probe * sizes.sum()))
     probes = (_probes(queries.repartition(max(2, query_blocks)), books, sizes, enough, id_type)

@@ -15,13 +15,11 @@ sum, not a group.
 
 Cases: a null text is an empty one and has no spans; repeated rows each get their
 spans; candidates longer than ``LONGEST`` code points are no identifiers;
-without seeds nothing is added; extra columns pass through ``mask``.
+without seeds nothing is added; extra columns pass through ``masked``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,17 +173,43 @@ def bootstrap(scan: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDEN
     return found if rounds else seeds.limit(0)
 
 
+def _added(scan: DataFrame) -> DataFrame:
+    """(id, added): the occurrences of accepted instances outside the base spans, per id."""
+    new = bootstrap(scan)
+    return (scan.select("id", F.explode("cand").alias("c")).where("NOT c.taken").select("id", "c.*").drop("seed")
+            .join(new.select("hit", "kind"), "hit").groupBy("id")
+            .agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
+
+
+def _places(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["kind"], s["start"], s["end"]))
+
+
+def _all_spans(base: Column) -> Column:
+    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    return F.array_sort(F.concat(base, F.coalesce(F.col("added"), none)))
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``base`` and ``spans``, arrays of (kind number, start, end) by kind and start."""
     scan = keep(_scan(docs, id_col, text_col), "pii_scan")
-    new = bootstrap(scan)
-    added = (scan.select("id", F.explode("cand").alias("c")).where("NOT c.taken").select("id", "c.*").drop("seed")
-             .join(new.select("hit", "kind"), "hit").groupBy("id")
-             .agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
-    base = F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"]))
-    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    return scan.select("id", base.alias("base")).join(added, "id", "left").select(
-        F.col("id").alias(id_col), "base", F.array_sort(F.concat("base", F.coalesce("added", none))).alias("spans"))
+    return scan.select("id", _places(F.col("base")).alias("base")).join(_added(scan), "id", "left").select(
+        F.col("id").alias(id_col), "base", _all_spans(F.col("base")).alias("spans"))
+
+
+def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every span of its texts replaced by the kind in brackets.
+
+    Base spans are found again where the text lies; documents are shuffled only if there are added spans.
+    """
+    added = keep(_added(keep(_scan(docs, id_col, text_col), "pii_scan")), "pii_added")
+    if added.isEmpty():
+        spans = F.array_sort(_places(base_spans(F.col(text_col))))
+        return docs.withColumn(text_col, F.when(F.col(text_col).isNotNull(), mask(F.col(text_col), spans)))
+    rows = docs.join(added.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left")
+    spans = _all_spans(_places(base_spans(F.col(text_col))))
+    return rows.withColumn(text_col, F.when(F.col(text_col).isNotNull(), mask(F.col(text_col), spans))).select(
+        *docs.columns)
 
 
 def render(spans: Column) -> Column:
