@@ -37,7 +37,7 @@ SQL_VIEWS = {
         '/item/' || CAST({K} AS VARCHAR) AS url, ts + to_minutes({K} % 25) AS arrival_ts FROM events""",
     "market_behavior": """SELECT event_id, user_id,
         CASE event_type WHEN 'click' THEN 'CLICK' WHEN 'view' THEN 'DOWNLOAD' WHEN 'error' THEN 'UNINSTALL'
-             WHEN 'purchase' THEN 'INSTALL' WHEN 'signup' THEN 'INSTALL' END AS behavior,
+             WHEN 'purchase' THEN 'INSTALL' END AS behavior,
         (['app store', 'wechat', 'weibo', 'tieba'])[CAST(user_id % 4 AS INTEGER) + 1] AS channel, ts FROM events""",
     "ad_clicks": f"""SELECT event_id, user_id, {K} % 5 AS ad_id, 'p' || CAST(user_id % 7 AS VARCHAR) AS province,
         'c' || CAST(user_id % 11 AS VARCHAR) AS city, ts FROM events WHERE event_type = 'click'""",
@@ -46,6 +46,9 @@ SQL_VIEWS = {
     "order_events": """SELECT event_id, event_id // 2 AS order_id,
         CASE WHEN event_id % 2 = 0 THEN 'create' ELSE 'pay' END AS event_type, ts FROM events
         WHERE (event_id % 2 = 0 AND event_type <> 'error') OR (event_id % 2 = 1 AND event_type <> 'view')""",
+    "order_events_mixed": """SELECT event_id, event_id // 5 AS order_id,
+        CASE event_type WHEN 'click' THEN 'create' WHEN 'view' THEN 'create' WHEN 'purchase' THEN 'pay'
+             WHEN 'error' THEN 'modify' END AS event_type, ts FROM events""",
     "pay_events": """SELECT event_id, event_id // 2 AS order_id, 't' || CAST(event_id // 2 AS VARCHAR) AS tx_id, ts
         FROM events WHERE (event_id + event_id // 2) % 2 = 0 AND event_type <> 'error'""",
     "receipts": f"""SELECT event_id, 't' || CAST(event_id // 2 AS VARCHAR) AS tx_id,
@@ -141,6 +144,13 @@ def hot_urls_topn(spark, sf_dir):
     return topn.hot_urls(ad.access_log(_ev(spark, sf_dir)), n=5, size="10 minutes", slide="1 minute")
 
 
+@register("hot_urls_topn_fine",
+          with_views(sql_top_n(sql_window_counts("access_log", "event_time", ["url"], 10 * MIN, 15 * SEC,
+                                                 "method = 'GET'"), "url", 5), "access_log"))
+def hot_urls_topn_fine(spark, sf_dir):
+    return topn.hot_urls(ad.access_log(_ev(spark, sf_dir)), n=5, size="10 minutes", slide="15 seconds")
+
+
 @register("pv_hourly", with_views(f"SELECT {_hour_end()} AS window_end, count(*) AS pv FROM user_behavior "
                                   "WHERE behavior = 'pv' GROUP BY 1", "user_behavior"))
 def pv_hourly(spark, sf_dir):
@@ -159,6 +169,13 @@ def channel_behavior_counts(spark, sf_dir):
     return counts.channel_behavior_counts(ad.market_behavior(_ev(spark, sf_dir)), "1 hour", "5 minutes")
 
 
+@register("channel_behavior_counts_fine",
+          with_views(sql_window_counts("market_behavior", "ts", ["channel", "behavior"], HOUR, MIN,
+                                       "behavior IS DISTINCT FROM 'UNINSTALL'"), "market_behavior"))
+def channel_behavior_counts_fine(spark, sf_dir):
+    return counts.channel_behavior_counts(ad.market_behavior(_ev(spark, sf_dir)), "1 hour", "1 minute")
+
+
 @register("province_ad_counts",
           with_views(sql_window_counts("ad_clicks", "ts", ["province"], HOUR, 5 * MIN), "ad_clicks"))
 def province_ad_counts(spark, sf_dir):
@@ -302,16 +319,20 @@ def login_fail_episodes(spark, sf_dir):
 
 
 # ------------------------------------------------------------ 6. order lifecycle
-def _sql_status(t_us: int) -> str:
-    return f"""SELECT order_id, create_ts, pay_ts,
-        CASE WHEN create_ts IS NULL THEN 'pay_without_create' WHEN pay_ts IS NULL THEN 'pay timeout'
-             WHEN epoch_us(pay_ts) - epoch_us(create_ts) < {t_us} THEN 'payed' ELSE 'payed timeout' END AS status
-    FROM (SELECT order_id, min(ts) AS create_ts FROM order_events WHERE event_type = 'create' GROUP BY 1) c
-    FULL OUTER JOIN (
-        SELECT o.order_id, min(o.ts) AS pay_ts FROM order_events o
-        LEFT JOIN (SELECT order_id, min(ts) AS c_ts FROM order_events WHERE event_type = 'create' GROUP BY 1) cc
-          ON o.order_id = cc.order_id
-        WHERE o.event_type = 'pay' AND (cc.c_ts IS NULL OR o.ts >= cc.c_ts) GROUP BY 1) p USING (order_id)"""
+def _sql_status(t_us: int, src: str = "order_events") -> str:
+    return f"""SELECT order_id, CASE WHEN is_create THEN ts END AS create_ts,
+        CASE WHEN is_create THEN next_pay ELSE first_pay END AS pay_ts,
+        CASE WHEN is_create AND next_pay IS NULL THEN 'pay timeout'
+             WHEN is_create AND epoch_us(next_pay) - epoch_us(ts) < {t_us} THEN 'payed'
+             WHEN is_create THEN 'payed timeout' WHEN first_pay IS NULL THEN 'other_event'
+             ELSE 'pay_without_create' END AS status
+    FROM (SELECT order_id, ts, COALESCE(event_type = 'create', false) AS is_create,
+             min(CASE WHEN event_type = 'pay' THEN ts END) OVER (PARTITION BY order_id ORDER BY ts
+                 RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_pay,
+             min(CASE WHEN event_type = 'pay' THEN ts END) OVER (PARTITION BY order_id) AS first_pay,
+             max(CASE WHEN event_type = 'create' THEN 1 ELSE 0 END) OVER (PARTITION BY order_id) AS created,
+             row_number() OVER (PARTITION BY order_id ORDER BY ts) AS n FROM {src}) o
+    WHERE is_create OR (created = 0 AND n = 1)"""
 
 
 @register("order_payment_status", with_views(_sql_status(5 * MIN), "order_events"))
@@ -326,6 +347,11 @@ def order_timeouts(spark, sf_dir):
     return orders.timeouts(ad.order_events(_ev(spark, sf_dir)), timeout="5 minutes")
 
 
+@register("order_status_repeats", with_views(_sql_status(5 * MIN, "order_events_mixed"), "order_events_mixed"))
+def order_status_repeats(spark, sf_dir):
+    return orders.payment_status(ad.order_events_mixed(_ev(spark, sf_dir)), timeout="5 minutes")
+
+
 # ------------------------------------------------------------ 7. pay / receipt
 @register("pay_receipt_interval_join", with_views(f"""SELECT p.tx_id, p.order_id, p.ts AS pay_ts,
         r.ts AS receipt_ts, r.pay_channel
@@ -348,28 +374,24 @@ _RECONCILE_SQL = f"""SELECT coalesce(p_tx, r_tx) AS tx_id, order_id, pay_ts, rec
       ON p_tx = r_tx AND p_n = r_n AND abs(epoch_us(receipt_ts) - epoch_us(pay_ts)) <= {5 * MIN}"""
 
 
-def _reconciled(spark, sf_dir):
-    ev = _ev(spark, sf_dir)
-    return payments.reconcile(ad.pay_events(ev), ad.receipts(ev), tolerance="5 minutes")
-
-
 @register("pay_receipt_reconcile", with_views(_RECONCILE_SQL, "pay_events", "receipts"))
 def pay_receipt_reconcile(spark, sf_dir):
-    return _reconciled(spark, sf_dir)
+    ev = _ev(spark, sf_dir)
+    return payments.reconcile(ad.pay_events(ev), ad.receipts(ev), tolerance="5 minutes")
 
 
 @register("pay_without_receipt", with_views(f"SELECT tx_id, order_id, pay_ts FROM ({_RECONCILE_SQL}) x "
                                             "WHERE status = 'pay_without_receipt'", "pay_events", "receipts"))
 def pay_without_receipt(spark, sf_dir):
-    return _reconciled(spark, sf_dir).where(F.col("status") == "pay_without_receipt").select(
-        "tx_id", "order_id", "pay_ts")
+    ev = _ev(spark, sf_dir)
+    return payments.unmatched_pays(ad.pay_events(ev), ad.receipts(ev), tolerance="5 minutes")
 
 
 @register("receipt_without_pay", with_views(f"SELECT tx_id, receipt_ts, pay_channel FROM ({_RECONCILE_SQL}) x "
                                             "WHERE status = 'receipt_without_pay'", "pay_events", "receipts"))
 def receipt_without_pay(spark, sf_dir):
-    return _reconciled(spark, sf_dir).where(F.col("status") == "receipt_without_pay").select(
-        "tx_id", "receipt_ts", "pay_channel")
+    ev = _ev(spark, sf_dir)
+    return payments.unmatched_receipts(ad.pay_events(ev), ad.receipts(ev), tolerance="5 minutes")
 
 
 # ------------------------------------------------------------ 8. late rows

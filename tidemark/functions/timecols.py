@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 def from_epoch_seconds(col: Column) -> Column:
     """Epoch seconds -> event time (TIMESTAMP_NTZ: wall clock = UTC, no zone shift)."""
-    return F.timestamp_seconds(col).cast("timestamp_ntz")
+    return micros_to_ts(col.cast("bigint") * F.lit(1_000_000))
 
 
 def from_epoch_millis(col: Column) -> Column:
-    return F.timestamp_millis(col).cast("timestamp_ntz")
+    return micros_to_ts(col.cast("bigint") * F.lit(1_000))
 
 
 def to_event_time(col: Column) -> Column:
@@ -49,6 +49,12 @@ def epoch_micros(ts: Column) -> Column:
     )
 
 
+def floor_div(x: Column, n: int | Column) -> Column:
+    """Integer division rounded down, exact for all longs (no detour through DOUBLE)."""
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.call_function("div", x - F.pmod(x, n), n)
+
+
 def micros_to_ts(micros: Column) -> Column:
     """Inverse of ``epoch_micros``: TIMESTAMP_NTZ."""
     return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))

@@ -2,8 +2,8 @@
 
 Per (user, ad[, business day]) the ``max_click``-th click raises one warning;
 that click and every later one leave the main stream.  The N-th click is found
-with a top-N per group (a partial ``WindowGroupLimit`` caps what each map task
-ships to N rows per group), and the main stream keeps a click iff it sorts
+with a top-N per group (up to N = 1000, a partial ``WindowGroupLimit`` caps what each
+map task ships to N rows per group; a larger N sorts a group's clicks in one task), and the main stream keeps a click iff it sorts
 before its group's threshold click - a join against one row per flagged
 group, which AQE broadcasts when it is small and splits when a group is hot.
 """
@@ -45,7 +45,8 @@ def allowed_clicks(clicks: DataFrame, max_click: int = 100, daily_reset: bool =
     keyed, keys = _keyed(clicks, daily_reset, utc_offset_hours)
     warn = blacklist_warnings(clicks, max_click, daily_reset, utc_offset_hours).select(
         *keys, F.struct("ts", "event_id").alias("_cut"))
-    j = keyed.join(warn, keys, "left")
+    named = warn.select("_cut", *[F.col(k).alias(f"_w_{k}") for k in keys])
+    j = keyed.join(named, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys], "left")
     keep = F.col("_cut").isNull() | (F.struct("ts", "event_id") < F.col("_cut"))
     return j.where(keep).select(*clicks.columns)
 

@@ -20,19 +20,24 @@ a user's rows in one place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, micros_to_ts
-from ..plans.ordered import MINUTE_US, long_bucket, neighbours, running, ts_bucket
+from ..plans.ordered import MINUTE_US, join_back, long_bucket, running, ts_bucket
 from ..session import checkpoint_dir
 from ..plans.sliding import duration_us
 
 ORDER = ["ts", "event_id"]
 
 
+def _is_fail() -> Column:
+    """Anything but a fail, a NULL type included, breaks a sequence of fails."""
+    return F.coalesce(F.col("event_type") == "fail", F.lit(False))
+
+
 def _numbered(logins: DataFrame, bucket_us: int) -> DataFrame:
-    is_fail = (F.col("event_type") == "fail").cast("bigint")
+    is_fail = _is_fail().cast("bigint")
     base = logins.select("user_id", "event_id", "ts", is_fail.alias("f"))
     return running(base, ["user_id"], ORDER, ts_bucket("ts", bucket_us),
                    {"rn": F.lit(1).cast("bigint"), "cf": F.col("f")})
@@ -49,7 +54,7 @@ def fail_runs(logins: DataFrame, n: int = 2, within: str = "5 seconds", inclusiv
                       F.col("ts").alias("last_fail_ts"))
     first = num.select("user_id", F.col("rn").alias("rn_first"), F.col("cf").alias("cf_first"),
                        F.col("ts").alias("first_fail_ts"))
-    j = last.join(first, (last.user_id == first.user_id) & (first.rn_first == last.rn_last - (n - 1)))
+    j = last.join(first, last.user_id.eqNullSafe(first.user_id) & (first.rn_first == last.rn_last - (n - 1)))
     gap = epoch_micros(F.col("last_fail_ts")) - epoch_micros(F.col("first_fail_ts"))
     w = duration_us(within)
     ok = (F.col("cf_last") - F.col("cf_first") == n - 1) & ((gap <= w) if inclusive else (gap < w))
@@ -58,38 +63,31 @@ def fail_runs(logins: DataFrame, n: int = 2, within: str = "5 seconds", inclusiv
 
 def fail_pairs(logins: DataFrame, max_gap: str = "2 seconds", bucket_us: int = MINUTE_US) -> DataFrame:
     """Consecutive fail pairs with gap <= ``max_gap`` -> (user_id, first_fail_ts, last_fail_ts)."""
-    nb = neighbours(logins.select("user_id", "event_id", "ts", "event_type"), ["user_id"], ORDER,
-                    ts_bucket("ts", bucket_us), prev={"prev_ts": "ts", "prev_type": "event_type"})
-    gap = epoch_micros(F.col("ts")) - epoch_micros(F.col("prev_ts"))
-    hit = (F.col("event_type") == "fail") & (F.col("prev_type") == "fail") & (gap <= duration_us(max_gap))
-    return nb.where(hit).select("user_id", F.col("prev_ts").alias("first_fail_ts"), F.col("ts").alias("last_fail_ts"))
+    return fail_runs(logins, 2, max_gap, inclusive=True, bucket_us=bucket_us).drop("fails")
 
 
-def _chain(nodes: DataFrame, roots: DataFrame, max_rounds: int = 64) -> DataFrame:
+def _chain(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Nodes reachable from ``roots`` along ``nxt`` pointers -> (user_id, node).
 
-    Pointer doubling: ``J[k+1](x) = J[k](J[k](x))`` until every pointer is
-    null, then walk the powers back down from the roots (distance bits from
-    high to low).  Each round is an equi-join on (user_id, node) - unique
+    Pointer doubling: ``J[k+1](x) = J[k](J[k](x))`` while any such pointer
+    exists, then walk the powers back down from the roots (distance bits from
+    high to low).  A table keeps only the nodes whose pointer is alive.  Each round is an equi-join on (user_id, node) - unique
     keys, so a user with a long chain is spread over all tasks - and each
     table is checkpointed to the shared checkpoint folder so the plan does
     not grow with the rounds.
     """
     checkpoint_dir(nodes.sparkSession)
-    jumps = [nodes.select("user_id", "node", "nxt").checkpoint(eager=True)]
-    for _ in range(max_rounds):
-        cur = jumps[-1]
-        if cur.where(F.col("nxt").isNotNull()).limit(1).count() == 0:
-            break
-        a, b = cur.alias("a"), cur.alias("b")
-        nxt2 = a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.nxt") == F.col("b.node")), "left")
-        jumps.append(nxt2.select("a.user_id", "a.node", F.col("b.nxt").alias("nxt")).checkpoint(eager=True))
-    else:
-        raise RuntimeError("episode chain longer than 2**max_rounds")
+    jumps = []
+    alive = nodes.where(F.col("nxt").isNotNull()).select("user_id", "node", "nxt").checkpoint(eager=True)
+    while not alive.isEmpty():
+        jumps.append(alive)
+        a, b = alive.alias("a"), alive.alias("b")
+        hop = a.join(b, F.col("a.user_id").eqNullSafe(F.col("b.user_id")) & (F.col("a.nxt") == F.col("b.node")))
+        alive = hop.select("a.user_id", "a.node", F.col("b.nxt").alias("nxt")).checkpoint(eager=True)
     reach = roots.select("user_id", "node")
-    for jump in reversed(jumps[:-1]):
-        step = reach.join(jump, ["user_id", "node"]).where(F.col("nxt").isNotNull())
-        reach = reach.unionByName(step.select("user_id", F.col("nxt").alias("node"))).checkpoint(eager=True)
+    for jump in reversed(jumps):
+        step = join_back(reach, jump, ["user_id", "node"]).select("user_id", F.col("nxt").alias("node"))
+        reach = reach.unionByName(step).checkpoint(eager=True)
     return reach
 
 
@@ -112,7 +110,7 @@ def fail_episodes(logins: DataFrame, window: str = "2 seconds", min_fails: int =
     """
     w = duration_us(window)
     base = logins.select("user_id", "event_id", epoch_micros(F.col("ts")).alias("t"),
-                         (F.col("event_type") == "fail").alias("fail"))
+                         _is_fail().alias("fail"))
     # rows (kind 0) merged with each fail's deadline mark (kind 1); a row at the deadline
     # instant sorts before the mark, so "before the mark" = t <= deadline
     rows = base.select("user_id", "t", "event_id", "fail", F.lit(0).alias("kind"))
@@ -136,13 +134,13 @@ def fail_episodes(logins: DataFrame, window: str = "2 seconds", min_fails: int =
     fails = scan.where(is_row & F.col("fail")).select("user_id", "event_id", "t", "rn", "ns")
     mark = scan.where(~is_row).select("user_id", "event_id", F.col("rn").alias("last_rn"), F.col("lt").alias("last"),
                                       F.col("nx").alias("ax"))
-    fails = fails.join(mark, ["user_id", "event_id"])
+    fails = join_back(fails, mark, ["user_id", "event_id"])
     cancelled = F.col("ns").isNotNull() & (F.col("ns.t") <= F.col("t") + F.lit(w))
     q = F.when(cancelled, F.col("ns")).otherwise(F.col("ax"))
     fails = fails.select("user_id", "event_id", "t", "last", (F.col("last_rn") - F.col("rn") + 1).alias("n"),
                          cancelled.alias("cancelled"), q.alias("q"))
     nf = scan.where(is_row).select(F.col("user_id").alias("n_user"), F.col("event_id").alias("q_id"), "nf")
-    linked = fails.join(nf, (F.col("user_id") == F.col("n_user")) & (F.col("q.event_id") == F.col("q_id")), "left")
+    linked = fails.join(nf, F.col("user_id").eqNullSafe(F.col("n_user")) & (F.col("q.event_id") == F.col("q_id")), "left")
     nxt = F.when(F.col("q.fail"), F.col("q.event_id")).otherwise(F.col("nf.event_id"))
     linked = linked.select("user_id", "event_id", nxt.alias("nxt"), "t", "cancelled", "last", "n")
     # sync roots: a fail right after a success, after a gap > window, or first of its user
@@ -150,7 +148,7 @@ def fail_episodes(logins: DataFrame, window: str = "2 seconds", min_fails: int =
     pred = scan.where(is_row & F.col("nx").isNotNull()).select(
         F.col("user_id").alias("p_user"), F.col("nx.event_id").alias("p_next"), F.col("t").alias("p_t"),
         F.col("fail").alias("p_fail"))
-    linked = linked.join(pred, (F.col("user_id") == F.col("p_user")) & (F.col("event_id") == F.col("p_next")), "left")
+    linked = linked.join(pred, F.col("user_id").eqNullSafe(F.col("p_user")) & (F.col("event_id") == F.col("p_next")), "left")
     root = F.col("p_t").isNull() | ~F.col("p_fail") | (F.col("t") - F.col("p_t") > F.lit(w))
     checkpoint_dir(linked.sparkSession)
     nodes = linked.select("user_id", F.col("event_id").alias("node"), "nxt", "t", "cancelled", "last", "n",
@@ -158,10 +156,10 @@ def fail_episodes(logins: DataFrame, window: str = "2 seconds", min_fails: int =
     roots = nodes.where("root").select("user_id", "node")
     # pointers into a root end the chain there (the root starts its own)
     rk = roots.select(F.col("user_id").alias("r_user"), F.col("node").alias("r_node"))
-    cut = nodes.join(rk, (F.col("user_id") == F.col("r_user")) & (F.col("nxt") == F.col("r_node")), "left")
+    cut = nodes.join(rk, F.col("user_id").eqNullSafe(F.col("r_user")) & (F.col("nxt") == F.col("r_node")), "left")
     links = cut.select("user_id", "node", F.when(F.col("r_node").isNull(), F.col("nxt")).alias("nxt"))
     openers = _chain(links, roots)
-    eps = nodes.join(openers, ["user_id", "node"]).where(~F.col("cancelled") & (F.col("n") >= min_fails))
+    eps = join_back(nodes, openers, ["user_id", "node"]).where(~F.col("cancelled") & (F.col("n") >= min_fails))
     return eps.select(
         "user_id",
         micros_to_ts(F.col("t")).alias("first_fail_ts"),

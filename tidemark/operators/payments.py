@@ -6,18 +6,18 @@
   receipts are copied into the (at most two) buckets their range touches, so a
   hot tx_id never meets all of its partners at once.
 * ``reconcile``: one-to-one matching.  The i-th pay of a tx_id (by time) pairs
-  with its i-th receipt when they are at most ``tolerance`` apart; a full
-  outer join with that condition leaves every other row unmatched on its own
-  side.  Status: matched / pay_without_receipt / receipt_without_pay.
+  with its i-th receipt when they are at most ``tolerance`` apart; every other
+  row stays unmatched on its own side.  Receipts with a NULL or empty tx id are
+  unmatched.  Status: matched / pay_without_receipt / receipt_without_pay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_micros
-from ..plans.ordered import MINUTE_US, running, ts_bucket
+from ..functions.timecols import epoch_micros, floor_div
+from ..plans.ordered import running, ts_bucket
 from ..plans.sliding import duration_us
 
 
@@ -31,12 +31,12 @@ def interval_join(pays: DataFrame, receipts: DataFrame, lower: str = "-3 seconds
     lo, hi = _signed_us(lower), _signed_us(upper)
     width = bucket_us or max(hi - lo, 1)
     p = _with_tx(pays).select("tx_id", "order_id", F.col("ts").alias("pay_ts"))
-    p = p.withColumn("pt", epoch_micros(F.col("pay_ts"))).withColumn("_b", F.floor(F.col("pt") / width))
+    p = p.withColumn("pt", epoch_micros(F.col("pay_ts"))).withColumn("_b", floor_div(F.col("pt"), width))
     r = receipts.select("tx_id", "pay_channel", F.col("ts").alias("receipt_ts"))
     r = r.withColumn("rt", epoch_micros(F.col("receipt_ts")))
     # pay.ts in [r.ts - hi, r.ts - lo]: buckets of both ends (equal or adjacent as width >= hi - lo)
     r = r.withColumn("_b", F.explode(F.array_distinct(F.array(
-        F.floor((F.col("rt") - hi) / width), F.floor((F.col("rt") - lo) / width)))))
+        floor_div(F.col("rt") - hi, width), floor_div(F.col("rt") - lo, width)))))
     j = p.join(r, ["tx_id", "_b"]).where((F.col("rt") >= F.col("pt") + lo) & (F.col("rt") <= F.col("pt") + hi))
     return j.select("tx_id", "order_id", "pay_ts", "receipt_ts", "pay_channel")
 
@@ -48,23 +48,66 @@ def _signed_us(text: str) -> int:
     return duration_us(text.lstrip("+"))
 
 
-def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-              bucket_us: int = MINUTE_US) -> DataFrame:
-    """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - every pay and receipt exactly once."""
-    tol = duration_us(tolerance)
-    order = ["ts", "event_id"]
-    p = running(_with_tx(pays).select("tx_id", "order_id", "ts", "event_id"), ["tx_id"], order,
-                ts_bucket("ts", bucket_us), {"nth": F.lit(1).cast("bigint")})
-    r = running(receipts.select("tx_id", "pay_channel", "ts", "event_id"), ["tx_id"], order,
-                ts_bucket("ts", bucket_us), {"nth": F.lit(1).cast("bigint")})
-    p = p.select(F.col("tx_id").alias("p_tx"), "order_id", F.col("ts").alias("pay_ts"), F.col("nth").alias("p_n"))
-    r = r.select(F.col("tx_id").alias("r_tx"), "pay_channel", F.col("ts").alias("receipt_ts"),
-                 F.col("nth").alias("r_n"))
+def _sides(pays: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Pays and receipts as one tagged table, so that both meet in a single exchange on the tx id."""
+    p = _with_tx(pays).select("tx_id", F.lit(True).alias("is_pay"), "ts", "event_id", "order_id",
+                              F.lit(None).cast("string").alias("pay_channel"))
+    r = receipts.select("tx_id", F.lit(False).alias("is_pay"), "ts", "event_id",
+                        F.lit(None).cast(dict(p.dtypes)["order_id"]).alias("order_id"), "pay_channel")
+    return p.unionByName(r)
+
+
+def _numbered(rows: DataFrame, bucket_us: int | None) -> DataFrame:
+    """``nth``: the row's number among its side's rows of the tx id."""
+    keys, order = ["tx_id", "is_pay"], ["ts", "event_id"]
+    if bucket_us is None:
+        # The pair of the n-th rows then aggregates on (tx_id, nth), which this exchange already serves.
+        by_tx = rows.repartition("tx_id")
+        return by_tx.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return running(rows, keys, order, ts_bucket("ts", bucket_us), {"nth": F.lit(1).cast("bigint")})
+
+
+def _paired(pays: DataFrame, receipts: DataFrame, tolerance: str, bucket_us: int | None) -> DataFrame:
+    """One row per (tx id, n): the n-th pay and the n-th receipt, ``near`` if both exist within the tolerance."""
+    side = lambda c, pay: F.max(F.when(F.col("is_pay") == pay, F.col(c)))
+    pairs = _numbered(_sides(pays, receipts), bucket_us).groupBy("tx_id", "nth").agg(
+        side("ts", True).alias("pay_ts"), side("order_id", True).alias("order_id"),
+        side("ts", False).alias("receipt_ts"), side("pay_channel", False).alias("pay_channel"),
+        F.max("is_pay").alias("has_pay"), (~F.min("is_pay")).alias("has_receipt"))
     gap = F.abs(epoch_micros(F.col("receipt_ts")) - epoch_micros(F.col("pay_ts")))
-    cond = (F.col("p_tx") == F.col("r_tx")) & (F.col("p_n") == F.col("r_n")) & (gap <= tol)
-    j = p.join(r, cond, "full_outer")
-    status = (F.when(F.col("p_tx").isNull(), F.lit("receipt_without_pay"))
-              .when(F.col("r_tx").isNull(), F.lit("pay_without_receipt"))
-              .otherwise(F.lit("matched")))
-    return j.select(F.coalesce("p_tx", "r_tx").alias("tx_id"), "order_id", "pay_ts", "receipt_ts", "pay_channel",
-                    status.alias("status"))
+    # An empty or missing tx id matches nothing.
+    return pairs.withColumn("near", F.coalesce((gap <= duration_us(tolerance)) & F.col("tx_id").isNotNull(),
+                                               F.lit(False)))
+
+
+def unmatched_pays(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
+                   bucket_us: int | None = None) -> DataFrame:
+    """(tx_id, order_id, pay_ts) of the pays without their receipt."""
+    return _paired(pays, receipts, tolerance, bucket_us).where("has_pay AND NOT near").select(
+        "tx_id", "order_id", "pay_ts")
+
+
+def unmatched_receipts(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
+                       bucket_us: int | None = None) -> DataFrame:
+    """(tx_id, receipt_ts, pay_channel) of the receipts without their pay."""
+    return _paired(pays, receipts, tolerance, bucket_us).where("has_receipt AND NOT near").select(
+        "tx_id", "receipt_ts", "pay_channel")
+
+
+def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
+              bucket_us: int | None = None) -> DataFrame:
+    """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - every pay and receipt exactly once.
+
+    Tx ids are near unique, so both sides meet in one exchange; ``bucket_us`` numbers the rows of hot ids by the
+    bucketed scan instead.
+    """
+    pairs = _paired(pays, receipts, tolerance, bucket_us)
+    none = lambda c: F.lit(None).cast(dict(pairs.dtypes)[c])
+    row = lambda status, pay, receipt: F.struct(
+        *[(F.col(c) if pay else none(c)).alias(c) for c in ("order_id", "pay_ts")],
+        *[(F.col(c) if receipt else none(c)).alias(c) for c in ("receipt_ts", "pay_channel")],
+        F.lit(status).alias("status"))
+    rows = F.when(F.col("near"), F.array(row("matched", True, True))).otherwise(F.filter(F.array(
+        F.when(F.col("has_pay"), row("pay_without_receipt", True, False)),
+        F.when(F.col("has_receipt"), row("receipt_without_pay", False, True))), lambda x: x.isNotNull()))
+    return pairs.select("tx_id", F.explode(rows).alias("r")).select("tx_id", "r.*")

@@ -13,15 +13,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import string_hash
+from ..functions.timecols import epoch_micros, micros_to_ts
 from ..plans.ordered import ts_bucket, running
 from ..plans.sliding import duration_us
 
 
-def _hour_window(size: str) -> F.Column:
+def _hour_window(size: str) -> Column:
     return F.window("ts", f"{duration_us(size)} microseconds")
 
 
@@ -46,10 +47,29 @@ def uv_bitmap(behavior: DataFrame, size: str = "1 hour", bits: int = 29, behavio
         F.bitmap_bucket_number(h).alias("chunk"),
         F.bitmap_bit_position(h).alias("pos"),
     )
-    per_chunk = chunks.groupBy("window_end", "chunk").agg(F.bitmap_count(F.bitmap_construct_agg("pos")).alias("n"))
+    # Distinct bits first, by hash aggregate: the bitmap buffers then see each bit once.
+    per_chunk = chunks.distinct().groupBy("window_end", "chunk").agg(F.bitmap_count(F.bitmap_construct_agg("pos")).alias("n"))
     return per_chunk.groupBy("window_end").agg(F.sum("n").alias("uv"))
 
 
+def _whole(n: int) -> Column:
+    return F.lit(str(n)).cast("decimal(20,0)")
+
+
+def _pack(ts: Column, event_id: Column) -> Column:
+    """(time, id) as one number in the same order: a hash aggregate keeps its minimum in place."""
+    t = (epoch_micros(ts) + F.lit(1 << 62)).cast("decimal(19,0)")
+    return (t * _whole(1 << 64)).cast("decimal(38,0)") + (event_id.cast("decimal(20,0)") + _whole(1 << 63))
+
+
+def _time(packed: Column) -> Column:
+    return micros_to_ts(F.call_function("div", packed, _whole(1 << 64)) - F.lit(1 << 62))
+
+
+def _id(packed: Column) -> Column:
+    return (packed % _whole(1 << 64) - _whole(1 << 63)).cast("bigint")
+
+
 def uv_running(behavior: DataFrame, size: str = "1 hour", bits: int = 29, behavior_value: str | None = None,
                bucket_us: int = 60_000_000) -> DataFrame:
     """(window_end, event_id, uv) - distinct hash bits seen so far in the window, per event.
@@ -64,8 +84,8 @@ def uv_running(behavior: DataFrame, size: str = "1 hour", bits: int = 29, behavi
         "ts",
         "event_id",
     )
-    firsts = rows.groupBy("window_end", "bit").agg(F.min(F.struct("ts", "event_id")).alias("f")).select(
-        "window_end", F.col("f.ts").alias("ts"), F.col("f.event_id").alias("event_id"),
+    firsts = rows.groupBy("window_end", "bit").agg(F.min(_pack(F.col("ts"), F.col("event_id"))).alias("f")).select(
+        "window_end", _time(F.col("f")).cast(dict(rows.dtypes)["ts"]).alias("ts"), _id(F.col("f")).alias("event_id"),
         F.lit(0).alias("kind"), F.lit(1).alias("inc"),
     )
     marks = rows.select("window_end", "ts", "event_id", F.lit(1).alias("kind"), F.lit(0).alias("inc"))

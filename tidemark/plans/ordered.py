@@ -2,10 +2,12 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sorts every row of a key in
 one task; a key with a third of all rows then becomes a single-task stage.
-Here each key is split into time buckets: the per-bucket aggregate (a partial
-+ final hash aggregate, skew-free) is scanned at bucket granularity (tiny),
+Here each key is split into time buckets: the per-bucket aggregate (partial +
+final, skew-free; a hash aggregate for sums and for extremes of numbers, a sort
+aggregate for extremes of structs) is scanned at bucket granularity (tiny),
 joined back on (key, bucket), and the in-bucket scan runs over
-(key, bucket) partitions.  A bucket's size is bounded by the data rate of a
+(key, bucket) partitions.  NULL keys are a group of their own, as in ``groupBy``.
+One (key, bucket) is never split further: choose the width for the hottest key.  A bucket's size is bounded by the data rate of a
 single key over the bucket width, not by the key's total history: with
 one-minute buckets, a key holding a third of 100 TB over 30 days still
 gives about 1 GB per task.
@@ -18,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_micros
+from ..functions.timecols import epoch_micros, floor_div
 
 MINUTE_US = 60_000_000
 HOUR_US = 60 * MINUTE_US
@@ -27,11 +29,18 @@ DAY_US = 24 * HOUR_US
 
 def long_bucket(micros: Column, width_us: int = HOUR_US) -> Column:
     """Bucket number of an epoch-micros long column."""
-    return F.floor(micros / F.lit(width_us)).cast("bigint")
+    return floor_div(micros, width_us)
 
 
 def ts_bucket(ts_col: str, width_us: int = HOUR_US) -> Column:
-    return F.floor(epoch_micros(F.col(ts_col)) / F.lit(width_us)).cast("bigint")
+    return long_bucket(epoch_micros(F.col(ts_col)), width_us)
+
+
+def join_back(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` that also pairs NULL keys; the facts' key columns are dropped."""
+    named = facts.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in facts.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return rows.join(named, cond, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
 def _by(keys: Sequence[str]):
@@ -75,7 +84,7 @@ def running(
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0 if include_current else -1
     )
-    j = b.join(off, [*keys, "_bk"], "inner")
+    j = join_back(b, off, [*keys, "_bk"])
     return j.select(
         *[c for c in b.columns if c != "_bk"],
         *[_combine(kinds[o], F.col(f"_o_{o}"), _agg(kinds[o], v).over(inner)).alias(o) for o, v in values.items()],
@@ -115,7 +124,7 @@ def neighbours(
     if ncols:
         sel.append(F.lead("_first").over(wb).alias("_nf"))
     edges = edges.select(*sel)
-    j = b.join(edges, [*keys, "_bk"], "inner")
+    j = join_back(b, edges, [*keys, "_bk"])
     wi = Window.partitionBy(*keys, "_bk").orderBy(*order)
     out = [F.col(c) for c in b.columns if c != "_bk"]
     for o, c in prev.items():

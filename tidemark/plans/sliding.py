@@ -1,20 +1,21 @@
 """Sliding / tumbling window counts.
 
-Two plans give the same rows ``(keys..., window_start, window_end, cnt)``:
-
-* ``expand``: ``groupBy(window(ts, size, slide), keys)``.  Spark copies each
-  row into size/slide windows before the partial aggregate; right for
-  tumbling windows and small ratios (1 h / 5 min = 12 copies).
-* ``step``: count per (key, pane of one slide), turn each pane count into two
-  deltas on the window-start axis (+c where its first window starts, -c after
-  its last), prefix-sum the deltas per key, and expand each run of equal
-  value into its window starts.  Work is proportional to the output, not to
-  rows x size/slide (720 copies for 1 h / 5 s).  The prefix sum runs per
-  (key, day bucket) with bucket offsets from a bucket-level scan
-  (``plans.ordered.running``), so a hot key is not sorted in one task.
-
-Windows are epoch-aligned half-open ``[start, end)`` in both plans, matching
-Spark's ``window()``.
+Rows are first counted per (key, pane of one slide); only pane counts are spread
+over windows.  Two plans, same rows ``(keys..., window_start, window_end, cnt)``
+and same types:
+
+* ``expand``: every pane count is copied into its size/slide windows and summed;
+  for tumbling windows and small ratios.
+* ``step``: every pane count becomes two deltas on the window-start axis (+c where
+  its first window starts, -c after its last), prefix-summed per key; each run of
+  equal value is expanded into its window starts.  Work follows the output, not
+  panes x ratio (720 for 1 h / 5 s).  The prefix sum runs per (key, day) with
+  offsets from a day-level scan (``plans.ordered``), and runs are cut at day
+  edges, so neither a hot key nor a long steady run is one task or one array.
+
+NULL keys are kept as a group.  Windows are epoch-aligned half-open
+``[start, end)`` as in Spark's ``window()`` and have the type of the time column.
+A size that is no multiple of the slide falls back to ``window()``.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_micros, micros_to_ts
-from .ordered import DAY_US, long_bucket
+from ..functions.timecols import epoch_micros, floor_div, micros_to_ts
+from .ordered import DAY_US, join_back, long_bucket
 
 _UNITS_US = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -59,17 +60,25 @@ def window_counts(
     """Row count per (keys, window) for every window holding at least one row."""
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide is not None else size_us
-    ratio = size_us // slide_us
-    if strategy == "auto":
-        strategy = "expand" if ratio <= max_expand or size_us % slide_us else "step"
-    if strategy == "expand":
-        return _expand(df, ts, list(keys), size_us, slide_us, count_col)
+    keys = list(keys)
     if size_us % slide_us:
-        raise ValueError("step method needs size to be a multiple of slide")
-    return _step(df, ts, list(keys), size_us, slide_us, count_col)
-
-
-def _expand(df: DataFrame, ts: str, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
+        if strategy == "step":
+            raise ValueError("step method needs size to be a multiple of slide")
+        return _by_window(df, ts, keys, size_us, slide_us, count_col)
+    instant = dict(df.dtypes)[ts] == "timestamp"
+    micros = F.unix_micros(F.col(ts)) if instant else epoch_micros(F.col(ts))
+    panes = df.groupBy(*keys, (floor_div(micros, slide_us) * F.lit(slide_us)).alias("_pane")).agg(
+        F.count(F.lit(1)).alias("_c")).where(F.col("_pane").isNotNull())
+    if strategy == "step" or (strategy == "auto" and size_us // slide_us > max_expand):
+        counted = _step(panes, keys, size_us, slide_us, count_col)
+    else:
+        counted = _expand(panes, keys, size_us, slide_us, count_col)
+    to_ts = F.timestamp_micros if instant else micros_to_ts
+    return counted.select(*keys, to_ts(F.col("_ws")).alias("window_start"),
+                          to_ts(F.col("_ws") + F.lit(size_us)).alias("window_end"), count_col)
+
+
+def _by_window(df: DataFrame, ts: str, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
     w = F.window(F.col(ts), _us_text(size_us), _us_text(slide_us))
     return (
         df.groupBy(w.alias("w"), *keys)
@@ -78,32 +87,34 @@ def _expand(df: DataFrame, ts: str, keys: list[str], size_us: int, slide_us: int
     )
 
 
-def _step(df: DataFrame, ts: str, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
-    pane = F.floor(epoch_micros(F.col(ts)) / F.lit(slide_us)).cast("bigint") * F.lit(slide_us)
-    panes = df.groupBy(*keys, pane.alias("pane")).agg(F.count(F.lit(1)).alias("c"))
+def _expand(panes: DataFrame, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
+    starts = F.sequence(F.col("_pane") - F.lit(size_us - slide_us), F.col("_pane"), F.lit(slide_us))
+    return panes.select(*keys, F.explode(starts).alias("_ws"), "_c").groupBy(*keys, "_ws").agg(
+        F.sum("_c").alias(count_col))
+
+
+def _step(panes: DataFrame, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
     # +c at the first window start covering the pane, -c one slide after the last.
     deltas = panes.select(
         *keys,
         F.inline(
             F.array(
-                F.struct((F.col("pane") - F.lit(size_us - slide_us)).alias("s"), F.col("c").alias("d")),
-                F.struct((F.col("pane") + F.lit(slide_us)).alias("s"), (-F.col("c")).alias("d")),
+                F.struct((F.col("_pane") - F.lit(size_us - slide_us)).alias("s"), F.col("_c").alias("d")),
+                F.struct((F.col("_pane") + F.lit(slide_us)).alias("s"), (-F.col("_c")).alias("d")),
             )
         ),
     )
     steps = deltas.groupBy(*keys, "s").agg(F.sum("d").alias("d")).where(F.col("d") != 0)
-    runs = _runs(steps, keys)
-    starts = F.sequence(F.col("s"), F.col("e") - F.lit(slide_us), F.lit(slide_us))
-    return runs.where(F.col("v") > 0).select(
-        *keys,
-        F.explode(starts).alias("ws"),
-        F.col("v").alias(count_col),
-    ).select(
-        *keys,
-        micros_to_ts(F.col("ws")).alias("window_start"),
-        micros_to_ts(F.col("ws") + F.lit(size_us)).alias("window_end"),
-        count_col,
-    )
+    runs = _runs(steps, keys).where(F.col("v") > 0)
+    # Cut a run at day edges: each piece is at most a day's worth of window starts.
+    day = F.explode(F.sequence(long_bucket(F.col("s"), DAY_US), long_bucket(F.col("e") - F.lit(1), DAY_US)))
+    cut = runs.withColumn("_day", day)
+    from_edge = F.greatest(F.col("s"), F.col("s") + F.lit(slide_us) * floor_div(
+        F.col("_day") * F.lit(DAY_US) - F.col("s") + F.lit(slide_us - 1), slide_us))
+    last = F.least(F.col("e") - F.lit(slide_us), (F.col("_day") + F.lit(1)) * F.lit(DAY_US) - F.lit(1))
+    pieces = cut.withColumn("_from", from_edge).where(F.col("_from") <= last)
+    return pieces.select(*keys, F.explode(F.sequence(F.col("_from"), last, F.lit(slide_us))).alias("_ws"),
+                         F.col("v").alias(count_col))
 
 
 def _runs(steps: DataFrame, keys: list[str], bucket_us: int = DAY_US) -> DataFrame:
@@ -118,7 +129,7 @@ def _runs(steps: DataFrame, keys: list[str], bucket_us: int = DAY_US) -> DataFra
         F.lead("first_s").over(wb).alias("next_first"),
     )
     wi = Window.partitionBy(*keys, "_bk").orderBy("s")
-    return b.join(offs, [*keys, "_bk"]).select(
+    return join_back(b, offs, [*keys, "_bk"]).select(
         *keys,
         "s",
         F.coalesce(F.lead("s").over(wi), F.col("next_first")).alias("e"),

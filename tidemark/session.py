@@ -2,8 +2,8 @@
 
 Library code never creates a session; it takes the caller's.  ``local_session``
 is for tests and the bench only.  ``checkpoint_dir`` reads the cluster's
-``spark.checkpoint.dir`` and only falls back to a scratch folder when the
-setting is absent (tests on one machine).
+``spark.checkpoint.dir``; where it is unset, only a session on one machine
+(``local[...]``) gets a scratch folder, a cluster raises.
 """
 
 from __future__ import annotations
@@ -45,13 +45,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's setting, else a scratch one."""
+    """The shared checkpoint folder: the cluster's setting, on one machine else a scratch one."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if conf_dir or sc_dir:
         if not sc_dir:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir or sc_dir
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timecols import floor_div
 from .schemas import MARKET_CHANNELS
 
 
@@ -46,7 +47,7 @@ def access_log(ev: DataFrame, extra: list[str] = ()) -> DataFrame:
     return ev.select(
         *extra,
         "event_id",
-        F.concat_ws(".", F.lit("10"), F.lit("0"), (uid.bitwiseAND(0xFF00) / 256).cast("bigint").cast("string"),
+        F.concat_ws(".", F.lit("10"), F.lit("0"), F.shiftright(uid.bitwiseAND(0xFF00), 8).cast("string"),
                     uid.bitwiseAND(0xFF).cast("string")).alias("ip"),
         uid.cast("string").alias("user_id"),
         F.col("ts").alias("event_time"),
@@ -56,14 +57,14 @@ def access_log(ev: DataFrame, extra: list[str] = ()) -> DataFrame:
 
 
 def market_behavior(ev: DataFrame) -> DataFrame:
-    """MarketUserBehavior: channel by user_id % 4, behaviour mapped from event_type."""
+    """MarketUserBehavior: channel by user_id % 4, behaviour mapped from event_type (signup has none: NULL)."""
     channels = F.array(*[F.lit(c) for c in MARKET_CHANNELS])
     et = F.col("event_type")
     behavior = (
         F.when(et == "click", "CLICK")
         .when(et == "view", "DOWNLOAD")
         .when(et == "error", "UNINSTALL")
-        .when(et.isin("purchase", "signup"), "INSTALL")
+        .when(et == "purchase", "INSTALL")
     )
     return ev.select(
         "event_id",
@@ -102,7 +103,7 @@ def order_events(ev: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     is_create = (eid % 2 == 0) & (F.col("event_type") != "error")
     is_pay = (eid % 2 == 1) & (F.col("event_type") != "view")
-    order_id = F.floor(eid / 2).cast("bigint")
+    order_id = floor_div(eid, 2)
     return ev.where(is_create | is_pay).select(
         "event_id",
         order_id.alias("order_id"),
@@ -112,8 +113,15 @@ def order_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def order_events_mixed(ev: DataFrame) -> DataFrame:
+    """OrderEvent with repeated creates, unknown types and NULL types: five consecutive events are one order."""
+    et = F.col("event_type")
+    kind = F.when(et.isin("click", "view"), "create").when(et == "purchase", "pay").when(et == "error", "modify")
+    return ev.select("event_id", floor_div(F.col("event_id"), 5).alias("order_id"), kind.alias("event_type"), "ts")
+
+
 def _pair(eid: Column) -> Column:
-    return F.floor(eid / 2).cast("bigint")
+    return floor_div(eid, 2)
 
 
 def pay_events(ev: DataFrame) -> DataFrame:

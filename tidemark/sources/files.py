@@ -1,8 +1,14 @@
 """Readers for the raw shop logs.
 
 All readers are declarative scans: an explicit schema (no inference pass),
-``PERMISSIVE`` parsing, and time conversion as JVM expressions, so column
-pruning and filter pushdown reach the file scan.  The streaming variants read
+``PERMISSIVE`` parsing (a malformed line is kept in ``_corrupt_record``), and
+time conversion as JVM expressions, so column pruning and filter pushdown reach
+the file scan.
+
+Every reader adds ``event_id``, the last sort key and row key of the operators.
+A batch scan numbers its rows in file order (unique; stable for the same files
+and split settings).  A stream cannot number rows, so there it is a hash of the
+file and the line: equal lines of one file share it.  The streaming variants read
 an arriving directory (Kafka is the production drop-in: same parser over
 ``value``).
 """
@@ -13,12 +19,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .schemas import CORRUPT
 from ..functions.timecols import from_epoch_millis, from_epoch_seconds
 
 
 def _csv(spark: SparkSession, path: str, ddl: str, stream: bool = False) -> DataFrame:
     reader = spark.readStream if stream else spark.read
-    return reader.schema(ddl).option("header", "false").option("mode", "PERMISSIVE").csv(path)
+    rows = (reader.schema(f"{ddl}, {CORRUPT} STRING").option("header", "false").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return _with_event_id(rows, stream)
+
+
+def _with_event_id(rows: DataFrame, stream: bool) -> DataFrame:
+    number = F.xxhash64("_metadata.file_path", *rows.columns) if stream else F.monotonically_increasing_id()
+    return rows.withColumn("event_id", number)
 
 
 def _with_ts(df: DataFrame, col: str = "ts_sec") -> DataFrame:
@@ -56,8 +70,8 @@ def read_market_behavior(spark: SparkSession, path: str, stream: bool = False) -
     return df.withColumn("ts", from_epoch_millis(F.col("ts_ms")))
 
 
-def parse_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Space-separated access log lines -> (ip, user_id, event_time, method, url).
+def parse_access_log(lines: DataFrame, value: str = "value", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Space-separated access log lines -> (ip, user_id, event_time, method, url) and ``extra`` columns.
 
     Tokens 0=ip, 1=user id, 3=time ``dd/MM/yyyy:HH:mm:ss``, 5=method, 6=url.
     Malformed lines give NULLs (``try_to_timestamp``) instead of failing the job.
@@ -66,16 +80,17 @@ def parse_access_log(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.select(
         F.get(tok, 0).alias("ip"),
         F.get(tok, 1).alias("user_id"),
-        F.try_to_timestamp(F.get(tok, 3), F.lit(schemas.ACCESS_LOG_TIME_FORMAT)).alias("event_time"),
+        F.try_to_timestamp(F.get(tok, 3), F.lit(schemas.ACCESS_LOG_TIME_FORMAT)).cast("timestamp_ntz").alias("event_time"),
         F.get(tok, 5).alias("method"),
         F.get(tok, 6).alias("url"),
+        *extra,
     )
 
 
 def read_access_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Text access log."""
     reader = spark.readStream if stream else spark.read
-    return parse_access_log(reader.text(path))
+    return parse_access_log(_with_event_id(reader.text(path), stream), extra=("event_id",))
 
 
 def parse_order_line(value: Column) -> list[Column]:
@@ -94,4 +109,4 @@ def parse_order_line(value: Column) -> list[Column]:
 def read_order_lines(spark: SparkSession, path: str, stream: bool = True) -> DataFrame:
     """Order events arriving as text lines in a directory."""
     reader = spark.readStream if stream else spark.read
-    return reader.text(path).select(*parse_order_line(F.col("value")))
+    return _with_event_id(reader.text(path), stream).select(*parse_order_line(F.col("value")), "event_id")

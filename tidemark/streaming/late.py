@@ -8,8 +8,8 @@ has expired: ``floor(ts, slide) + size - 1 ms + lateness <= watermark``.
 
 The running max event time is one number per micro-batch, kept in a small
 parquet log under the stream's checkpoint folder (overwritten by batch id,
-so a replayed batch rewrites the same entry).  Each micro-batch is read
-twice (its max, its late rows) - both distributed scans of that batch only.
+so a replayed batch rewrites the same entry).  Each micro-batch is computed
+once and kept while its late rows are written and its max is taken.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.timecols import epoch_micros, micros_to_ts
+from ..functions.timecols import epoch_micros, floor_div, micros_to_ts
 from ..plans.sliding import duration_us
 
 
 def _previous_max(spark, log_path: str, batch_id: int):
     try:
         log = spark.read.parquet(log_path)
-    except AnalysisException:  # no batch logged yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # a broken log must not pass for an empty one
+            raise
+        return None  # no batch logged yet
     return log.where(F.col("batch_id") < batch_id).agg(F.max("max_us")).first()[0]
 
 
@@ -41,13 +43,20 @@ def late_rows_writer(out_path: str, log_path: str, ts: str = "event_time", size:
     bound_us, late_us = duration_us(bound), duration_us(lateness)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            put(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         t = epoch_micros(F.col(ts))
         prev = _previous_max(spark, log_path, batch_id)
         if prev is not None:
             wm = prev - bound_us
             rows = batch if method is None else batch.where(F.col("method") == method)
-            last_end = F.floor(t / slide_us) * slide_us + F.lit(size_us)
+            last_end = floor_div(t, slide_us) * slide_us + F.lit(size_us)
             late = rows.where(last_end - F.lit(1000) + F.lit(late_us) <= F.lit(wm))
             (late.withColumn("watermark", micros_to_ts(F.lit(wm)))
              .write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}")))

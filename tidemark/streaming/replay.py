@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timecols import business_day
 from ..plans.sliding import duration_us
+from ..sources.schemas import CREATE, PAY, PAY_TIMEOUT, PAY_WITHOUT_CREATE, PAYED, PAYED_TIMEOUT
 
 DAY_US = 86_400_000_000
 
@@ -203,7 +204,7 @@ class FailRuns(_Replay):
 
 def _logins(logins: DataFrame, delay: str) -> DataFrame:
     return _watermarked(logins, delay).select(
-        "user_id", "ts", _us(), "event_id", (F.col("event_type") == "fail").alias("fail"))
+        "user_id", "ts", _us(), "event_id", F.coalesce(F.col("event_type") == "fail", F.lit(False)).alias("fail"))
 
 
 _FAIL_OUT = "user_id BIGINT, first_us BIGINT, last_us BIGINT, fails BIGINT"
@@ -230,56 +231,61 @@ def login_fail_runs(logins: DataFrame, n: int = 2, within: str = "5 seconds", in
 
 # ---------------------------------------------------------------- orders
 class PaymentTimeout(_Replay):
-    """``payed`` when the first pay comes < timeout after create; ``pay timeout``
-    once the watermark passes create + timeout; a pay after that is ``payed timeout``;
-    a pay with no earlier create is ``pay_without_create``.  A finished order's
-    state is kept ``retention`` past its deadline (so a repeated pay is ignored), then dropped."""
+    """Every create waits for the first pay at or after it: ``payed`` when it comes < timeout later,
+    ``pay timeout`` once the watermark passes create + timeout, and ``payed timeout`` for a pay after that;
+    an order paid before any create is ``pay_without_create``, once.
+
+    State is kept for late pays: for ever, or ``retention`` past the last deadline (a still later pay is then
+    ``pay_without_create``).
+    """
 
     FIELDS = ("ts_us", "event_id", "is_create", "is_pay")
     BUF = "ts_us BIGINT, event_id BIGINT, is_create BOOLEAN, is_pay BOOLEAN"
-    STATE = "create_us BIGINT, timed_out BOOLEAN, done BOOLEAN"
+    STATE = "waiting ARRAY<BIGINT>, overdue ARRAY<BIGINT>, last_create BIGINT, bare BOOLEAN"
     OUT = ("order_id", "create_us", "pay_us", "status")
 
-    def __init__(self, timeout_us: int, retention_us: int):
+    def __init__(self, timeout_us: int, retention_us: int | None):
         self.timeout_us, self.retention_us = timeout_us, retention_us
 
     def fold(self, key, state, rows, limit):
         oid = key[0]
-        create, timed_out, done = state or (None, False, False)
+        waiting, overdue, last, bare = state or ([], [], None, False)
+        waiting, overdue = list(waiting or []), list(overdue or [])
         out = []
-        for t, _, is_create, is_pay in rows:
-            if is_create and create is None:
-                create = t
-            elif is_pay and not done:
-                if create is None:
-                    out.append((oid, None, t, "pay_without_create"))
-                elif t - create < self.timeout_us:
-                    out.append((oid, create, t, "payed"))
-                else:
-                    out.append((oid, create, t, "payed timeout"))
-                done = True
-        if create is None:
-            return out, None, []
-        deadline = create + self.timeout_us
-        if not done and not timed_out and deadline <= limit:
-            out.append((oid, create, None, "pay timeout"))
-            timed_out = True
-        if deadline + self.retention_us < limit:
+        for t, _, is_create, is_pay in sorted(rows, key=lambda r: (r[0], not r[2], r[1])):
+            if is_create:
+                waiting.append(t)
+                last = t
+            elif is_pay and (waiting or overdue):
+                for c in overdue + waiting:
+                    out.append((oid, c, t, PAYED if t - c < self.timeout_us else PAYED_TIMEOUT))
+                waiting, overdue = [], []
+            elif is_pay and last is None and not bare:
+                out.append((oid, None, t, PAY_WITHOUT_CREATE))
+                bare = True
+        for c in [c for c in waiting if c + self.timeout_us <= limit]:
+            out.append((oid, c, None, PAY_TIMEOUT))
+            waiting.remove(c)
+            overdue.append(c)
+        timers = [c + self.timeout_us for c in waiting]
+        if self.retention_us is not None and last is not None:
+            end = last + self.timeout_us + self.retention_us
+            if end < limit:
+                return out, None, []
+            timers.append(end + 1)
+        if last is None and not bare:
             return out, None, []
-        timers = [deadline + self.retention_us + 1]
-        if not done and not timed_out:
-            timers.append(deadline)
-        return out, (create, timed_out, done), timers
+        return out, (waiting, overdue, last, bare), timers
 
 
-def order_payment_events(orders: DataFrame, timeout: str = "15 minutes", retention: str = "1 hour",
+def order_payment_events(orders: DataFrame, timeout: str = "15 minutes", retention: str | None = None,
                          delay: str | None = None) -> DataFrame:
     """(order_id, create_ts, pay_ts, status) as they become final; an order that times out and is
     paid later yields ``pay timeout`` and then ``payed timeout``."""
     ev = _watermarked(orders, delay).select(
-        "order_id", "ts", _us(), "event_id", (F.col("event_type") == "create").alias("is_create"),
-        (F.col("event_type") == "pay").alias("is_pay"))
-    proc = PaymentTimeout(duration_us(timeout), duration_us(retention))
+        "order_id", "ts", _us(), "event_id", F.coalesce(F.col("event_type") == CREATE, F.lit(False)).alias("is_create"),
+        F.coalesce(F.col("event_type") == PAY, F.lit(False)).alias("is_pay"))
+    proc = PaymentTimeout(duration_us(timeout), None if retention is None else duration_us(retention))
     out = _replay(ev, ["order_id"], proc, "order_id BIGINT, create_us BIGINT, pay_us BIGINT, status STRING")
     return out.select("order_id", _from_us("create_us").alias("create_ts"), _from_us("pay_us").alias("pay_ts"),
                       "status")

@@ -37,19 +37,32 @@ def to_files(df: DataFrame, path: str, name: str, output_mode: str = "append", t
     return _trigger(w.outputMode(output_mode).queryName(name), trigger).start()
 
 
-def split_by(kind_col: str, paths: dict[str, str], drop_kind: bool = True) -> Callable[[DataFrame, int], None]:
+def split_by(kind_col: str, paths: dict[str, str], drop_kind: bool = True,
+             other: str | None = None) -> Callable[[DataFrame, int], None]:
     """K2: a ``foreachBatch`` writer sending rows of each ``kind`` to its own table.
 
+    Rows of a kind without a path (NULL included) go to ``other``, with their kind; without ``other`` they are an
+    error.  The micro-batch is computed once and kept while its parts are written.
+
     Each kind is written under ``batch_id=<n>`` with partition overwrite, so a
     replayed micro-batch replaces its own output instead of duplicating it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for kind, path in paths.items():
-            part = batch.where(F.col(kind_col) == kind)
-            if drop_kind:
-                part = part.drop(kind_col)
-            part.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        batch.persist()
+        try:
+            rest = batch.where(~F.coalesce(F.col(kind_col).isin(*paths), F.lit(False)))
+            if other is not None:
+                rest.write.mode("overwrite").parquet(os.path.join(other, f"batch_id={batch_id}"))
+            elif not rest.isEmpty():
+                raise ValueError(f"rows of a {kind_col} without a path: {rest.select(kind_col).first()[0]!r}")
+            for kind, path in paths.items():
+                part = batch.where(F.col(kind_col) == kind)
+                if drop_kind:
+                    part = part.drop(kind_col)
+                part.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -63,16 +76,25 @@ def batch_log(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_windows(path: str, window_col: str = "window_end") -> Callable[[DataFrame, int], None]:
-    """K3: ``foreachBatch`` writer for update-mode results with one row per window.
+def upsert_windows(path: str, window_col: str = "window_end",
+                   keys: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
+    """K3: ``foreachBatch`` writer for update-mode results with one row per window (and ``keys``).
 
-    Each micro-batch carries the full new value of every window it touched;
-    dynamic partition overwrite by window replaces exactly those windows.
+    Each micro-batch carries the full new value of every (window, keys) it
+    touched; dynamic partition overwrite replaces exactly those.  Every further
+    grouping column must be named in ``keys`` (of few values: each is a
+    partition level); two rows of one partition are an error.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmss"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_w").parquet(path))
+        batch.persist()
+        try:
+            if not batch.groupBy(window_col, *keys).count().where("count > 1").isEmpty():
+                raise ValueError(f"several rows for one {(window_col, *keys)}: name the other grouping columns in keys")
+            (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmss"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_w", *keys).parquet(path))
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -85,8 +107,9 @@ def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], name: str
 
 
 def run_to_end(queries: Sequence[StreamingQuery], timeout_s: float = 600) -> None:
-    """Wait for ``availableNow`` queries; re-raise the first failure."""
+    """Wait for ``availableNow`` queries; re-raise the first failure, raise if one is not done in time."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        if not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"stream {q.name} still runs after {timeout_s} s")
         if q.exception() is not None:
             raise q.exception()
