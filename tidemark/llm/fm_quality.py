@@ -35,8 +35,8 @@ BUCKETS = 1 << 14
 RANK = 8
 BINS = 8
 SAMPLE_ROWS = 12_000
-EPOCHS = 8
-BATCH = 256
+STEPS = 800  # mini-batches of the fit, however many rows there are
+BATCH = 128
 RATE = 0.05
 SEED = 11
 
@@ -114,27 +114,28 @@ def train(words: list[tuple[np.ndarray, np.ndarray]], numbers: np.ndarray, y: np
                 np.quantile(numbers, np.arange(1, BINS) / BINS, axis=0), float(np.log(y.mean() / (1 - y.mean()))),
                 np.zeros(size), rng.normal(0, 0.05, (size, RANK)))
     gw, gv, gb = np.full(size, 1e-8), np.full((size, RANK), 1e-8), 1e-8
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for k in range(0, len(y), BATCH):
-            part = order[k: k + BATCH]
-            lens = [len(words[i][0]) for i in part]
-            w = (np.repeat(np.arange(len(part)), lens), np.concatenate([words[i][0] for i in part]),
-                 np.concatenate([words[i][1] for i in part]))
-            row, feature, value = m.design(w, numbers[part])
-            err = 1 / (1 + np.exp(-np.clip(m.margin(row, feature, value, len(part)), -35, 35))) - y[part]
-            g = err[row] * value / len(part)
-            step = np.bincount(feature, weights=g, minlength=size) + 1e-6 * m.w
-            gw += step ** 2
-            m.w -= RATE * step / np.sqrt(gw)
-            for f in range(RANK):
-                vx = m.v[feature, f] * value
-                s = np.bincount(row, weights=vx, minlength=len(part))
-                step = np.bincount(feature, weights=g * (s[row] - vx), minlength=size) + 1e-6 * m.v[:, f]
-                gv[:, f] += step ** 2
-                m.v[:, f] -= RATE * step / np.sqrt(gv[:, f])
-            gb += err.mean() ** 2
-            m.bias -= RATE * err.mean() / np.sqrt(gb)
+    order = np.zeros(0, np.int64)
+    for _ in range(STEPS):
+        if len(order) < BATCH:
+            order = np.concatenate([order, rng.permutation(len(y))])
+        part, order = order[:BATCH], order[BATCH:]
+        lens = [len(words[i][0]) for i in part]
+        w = (np.repeat(np.arange(len(part)), lens), np.concatenate([words[i][0] for i in part]),
+             np.concatenate([words[i][1] for i in part]))
+        row, feature, value = m.design(w, numbers[part])
+        err = 1 / (1 + np.exp(-np.clip(m.margin(row, feature, value, len(part)), -35, 35))) - y[part]
+        g = err[row] * value / len(part)
+        step = np.bincount(feature, weights=g, minlength=size) + 1e-6 * m.w
+        gw += step ** 2
+        m.w -= RATE * step / np.sqrt(gw)
+        for f in range(RANK):
+            vx = m.v[feature, f] * value
+            s = np.bincount(row, weights=vx, minlength=len(part))
+            step = np.bincount(feature, weights=g * (s[row] - vx), minlength=size) + 1e-6 * m.v[:, f]
+            gv[:, f] += step ** 2
+            m.v[:, f] -= RATE * step / np.sqrt(gv[:, f])
+        gb += err.mean() ** 2
+        m.bias -= RATE * err.mean() / np.sqrt(gb)
     return m
 
 
