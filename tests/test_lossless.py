@@ -1,6 +1,8 @@
 """NULL keys, default parameters, plan shapes, and the readers end to end."""
 
 import datetime as dt
+import itertools
+import random
 
 import pytest
 from conftest import SF001
@@ -10,7 +12,7 @@ from tidemark.functions.timecols import floor_div, from_epoch_millis, from_epoch
 from tidemark.operators import blacklist, counts, lateness, logins, orders, payments, topn, uniques
 from tidemark.sources import adapters, files
 from tidemark.streaming import sinks
-from tidemark.streaming.replay import PaymentTimeout
+from tidemark.streaming.replay import PairInOrder, PaymentTimeout
 
 T0 = 1_511_658_000
 
@@ -232,3 +234,24 @@ def test_upsert_keeps_other_keys_of_a_window(spark, tmp_path):
     write(rows(("a", 1), ("b", 2)), 0)
     write(rows(("a", 5)), 1)
     assert {(r.k, r.c) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {("a", 5), ("b", 2)}
+
+
+def test_pairing_fold_equals_plain_numbering():
+    """Rows arriving in four steps of the watermark give the pairs of numbering both sides at once."""
+    rng = random.Random(5)
+    for _ in range(50):
+        rows = sorted((rng.randrange(200), i, rng.random() < 0.5, f"w{i}") for i in range(rng.randrange(1, 20)))
+        fold, state, got, low = PairInOrder(15), None, [], 0
+        for limit in (40, 90, 150, 1000):
+            out, state, _ = fold.fold(("t",), state, [r[:4] for r in rows if low <= r[0] < limit], limit)
+            got, low = got + out, limit
+        pays, receipts = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+        want = []
+        for p, r in itertools.zip_longest(pays, receipts):
+            if p and r and abs(p[0] - r[0]) <= 15:
+                want.append(("t", p[3], p[0], r[0], r[3], "matched"))
+                continue
+            want += [("t", p[3], p[0], None, None, "pay_without_receipt")] if p else []
+            want += [("t", None, None, r[0], r[3], "receipt_without_pay")] if r else []
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert not state[2]  # nothing left waiting

@@ -148,6 +148,17 @@ def test_interval_join_and_reconcile_stream(stream_env):
     _same(rec, payments.reconcile(ad.pay_events(b), ad.receipts(b), "5 minutes"))
 
 
+def test_reconcile_stream_is_one_to_one(stream_env):
+    """Two orders share a tx id, so ids repeat; the ordered pairs equal the batch operator's."""
+    shared = lambda df: df.withColumn("tx_id", F.concat(F.lit("t"), F.floor(F.col("event_id") / 6).cast("string")))
+    s, b = stream_env["stream"], stream_env["batch"]
+    got = _run(stream_env, replay.reconcile(shared(ad.pay_events(s)), shared(ad.receipts(s)), "5 minutes"), "one_to_one")
+    want = payments.reconcile(shared(ad.pay_events(b)), shared(ad.receipts(b)), "5 minutes")
+    flush = F.substring("tx_id", 2, 20).cast("bigint") < 10**12 // 6
+    _same(got.where(flush), want.where(flush))
+    assert want.groupBy("tx_id", "status").count().where("status = 'matched' AND count > 1").count() > 0
+
+
 def test_login_streams(stream_env):
     s, b = stream_env["stream"], stream_env["batch"]
     ep = _real(_run(stream_env, replay.login_fail_episodes(ad.logins(s), "6 hours", 2),

@@ -9,8 +9,7 @@ arrive (state bounded by the range, not by history).
 other side's watermark passes its range, with the same ``status`` column as
 the batch form.  Inputs carry TIMESTAMP ``ts`` with a watermark (see
 ``streaming.sources.event_time``), or pass a delay per side.  The stream form pairs every in-range (pay, receipt) of a
-tx_id; the batch form's one-to-one rule for duplicate ids (Q18) needs the
-ordered replay instead.
+tx_id; the one-to-one rule for duplicate ids (Q18) is ``replay.reconcile``.
 """
 
 from __future__ import annotations

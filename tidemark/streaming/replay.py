@@ -338,3 +338,73 @@ def ad_click_numbers(clicks: DataFrame, max_click: int = 100, daily_reset: bool
     kind = F.when(F.col("click_no") < max_click, F.lit("allowed")).otherwise(F.lit("warning"))
     return out.select(*keys, "event_id", _from_us("ts_us").alias("ts"), "province", "city",
                       "click_no", kind.alias("kind"))
+
+
+# ---------------------------------------------------------------- pay / receipt
+class PairInOrder(_Replay):
+    """J2, one to one: the n-th pay of a tx id with its n-th receipt when they are at most ``tolerance`` apart.
+
+    A row waits until its partner has come or the watermark has passed its range; every row is reported once.  The
+    two counters of a tx id are kept, so that later rows go on numbering.
+    """
+
+    # ``what``: a pay's order id as text, a receipt's channel.
+    FIELDS = ("ts_us", "event_id", "is_pay", "what")
+    BUF = "ts_us BIGINT, event_id BIGINT, is_pay BOOLEAN, what STRING"
+    STATE = ("pays BIGINT, receipts BIGINT, open_n ARRAY<BIGINT>, open_pay ARRAY<BOOLEAN>, open_us ARRAY<BIGINT>, "
+             "open_what ARRAY<STRING>")
+    OUT = ("tx_id", "order_id", "pay_us", "receipt_us", "pay_channel", "status")
+
+    def __init__(self, tolerance_us: int):
+        self.tolerance_us = tolerance_us
+
+    @staticmethod
+    def _alone(tx, is_pay, t, what):
+        if is_pay:
+            return (tx, what, t, None, None, "pay_without_receipt")
+        return (tx, None, None, t, what, "receipt_without_pay")
+
+    def fold(self, key, state, rows, limit):
+        tx = key[0]
+        pays, receipts, *lists = state or (0, 0, [], [], [], [])
+        waiting = {(n, bool(p)): (t, w) for n, p, t, w in zip(*(x if x is not None else [] for x in lists))}
+        out = []
+        for t, _, is_pay, what in rows:
+            if is_pay:
+                pays += 1
+                n, seen = pays, receipts
+            else:
+                receipts += 1
+                n, seen = receipts, pays
+            partner = waiting.pop((n, not is_pay), None)
+            if partner is not None and abs(partner[0] - t) <= self.tolerance_us:
+                pay, receipt = ((t, what), partner) if is_pay else (partner, (t, what))
+                out.append((tx, pay[1], pay[0], receipt[0], receipt[1], "matched"))
+                continue
+            if partner is not None:
+                out.append(self._alone(tx, not is_pay, *partner))
+            if n <= seen:  # its partner came before, out of range
+                out.append(self._alone(tx, is_pay, t, what))
+            else:
+                waiting[n, is_pay] = (t, what)
+        for n, is_pay in [k for k, v in waiting.items() if v[0] + self.tolerance_us < limit]:
+            out.append(self._alone(tx, is_pay, *waiting.pop((n, is_pay))))
+        timers = [v[0] + self.tolerance_us + 1 for v in waiting.values()]
+        flat = [[n for n, _ in waiting], [p for _, p in waiting], *([v[i] for v in waiting.values()] for i in range(2))]
+        return out, (pays, receipts, *flat), timers
+
+
+def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds", delay: str | None = None) -> DataFrame:
+    """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - streaming ``payments.reconcile``, one to one.
+
+    Rows of a missing tx id match nothing: pays are dropped, receipts reported at once by the caller's own filter.
+    """
+    named = F.col("tx_id").isNotNull() & (F.col("tx_id") != "")
+    p = _watermarked(pays.where(named), delay).select(
+        "tx_id", "ts", _us(), "event_id", F.lit(True).alias("is_pay"), F.col("order_id").cast("string").alias("what"))
+    r = _watermarked(receipts.where(named), delay).select(
+        "tx_id", "ts", _us(), "event_id", F.lit(False).alias("is_pay"), F.col("pay_channel").alias("what"))
+    out = _replay(p.unionByName(r), ["tx_id"], PairInOrder(duration_us(tolerance)),
+                  "tx_id STRING, order_id STRING, pay_us BIGINT, receipt_us BIGINT, pay_channel STRING, status STRING")
+    return out.select("tx_id", F.col("order_id").cast("bigint").alias("order_id"), _from_us("pay_us").alias("pay_ts"), _from_us("receipt_us").alias("receipt_ts"),
+                      "pay_channel", "status")
