@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_WORDS = 1_000_000
+from . import textstats as ts
+
+SLICE_WORDS = 400_000
 CALL_WORDS = 20_000  # words in one encoder call
-MEMO_WORDS = 300_000  # encodings a worker remembers
+MEMO_WORDS = 200_000  # encodings a worker remembers
 MEMO_CHARS = 48
 
 # Fixed value: the white space of the tokenizer's word rule (Unicode White_Space).
@@ -53,7 +54,6 @@ def words(text: Column, specials: list[str]) -> Column:
                                  F.regexp_extract_all(part, F.lit(WORD), F.lit(0)))))
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -76,11 +76,9 @@ class WordTable:
         probe = [e.ids for e in self.tok.encode_batch(["ab 1,", " ", " cd", "ab 1,  cd"], add_special_tokens=False)]
         if probe[0] + probe[1] + probe[2] != probe[3]:
             raise ValueError(f"{path}: this tokenizer does not start afresh at a word's leading space")
-        self.memo: dict[str, list[int]] = {}
+        self.memo = ts.Recent(MEMO_WORDS)
 
     def __call__(self, distinct: list[str]) -> pa.ListArray:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
         ids = [self.memo.get(w) for w in distinct]
         new = [i for i, x in enumerate(ids) if x is None]
         for k in range(0, len(new), CALL_WORDS):
@@ -88,15 +86,10 @@ class WordTable:
             for i, e in zip(part, self.tok.encode_batch([distinct[i] for i in part], add_special_tokens=False)):
                 ids[i] = e.ids
                 if len(distinct[i]) <= MEMO_CHARS:
-                    self.memo[distinct[i]] = ids[i]
+                    self.memo.put(distinct[i], ids[i])
         return pa.array(ids, pa.list_(pa.int32()))
 
 
-@lru_cache(maxsize=2)
-def _table(path: str) -> WordTable:
-    return WordTable(path)
-
-
 def _encode_slice(lists: pa.Array, table: WordTable) -> pa.ListArray:
     """Id lists of the documents of a slice from their word lists."""
     parents = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
@@ -122,8 +115,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``id_col`` and the ``ids`` of every text, as the tokenizer library gives them without added special tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(path)
-        for batch in batches:
+        table = WordTable(path)  # for this task only: a worker that lives on keeps no table
+        for batch in ts.lean_batches(batches):
             lists = batch.column(1)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             for a, b in _runs(sizes, SLICE_WORDS):
@@ -143,14 +136,13 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str) -> pa.Array:
     """The bytes of each id of the vocabulary."""
-    tok, byte_of = _tokenizer(path), _byte_of()
-    out = []
-    for i in range(tok.get_vocab_size(with_added_tokens=True)):
-        letters = tok.id_to_token(i) or ""
-        out.append(bytes(byte_of[c] for c in letters) if all(c in byte_of for c in letters) else letters.encode())
+    vocab, byte_of = _tokenizer(path).get_vocab(with_added_tokens=True), _byte_of()
+    known, to_byte = set(byte_of), str.maketrans({c: chr(b) for c, b in byte_of.items()})
+    out = [b""] * (max(vocab.values(), default=-1) + 1)
+    for letters, i in vocab.items():
+        out[i] = letters.translate(to_byte).encode("latin-1") if known.issuperset(letters) else letters.encode()
     return pa.array(out, pa.binary())
 
 
@@ -167,7 +159,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
-        for batch in batches:
+        for batch in ts.lean_batches(batches):
             lists = batch.column(1)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             for a, b in _runs(sizes, SLICE_WORDS):

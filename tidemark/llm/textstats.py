@@ -14,12 +14,45 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # The symbols that the base quality rule counts.
 SYMBOLS = "#*$%&|<>"
 
 
+class Recent:
+    """A bounded memory in two generations: what was met lately stays, the rest is forgotten a generation at a time."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = max(1, limit // 2), {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def lean_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with Arrow buffers allocated so that a worker gives their memory back.
+
+    Workers outlive their tasks: what one task leaves behind would count against the next.
+    """
+    pool = pa.system_memory_pool()
+    pa.set_memory_pool(pool)
+    try:
+        yield from batches
+    finally:
+        pool.release_unused()
+
+
 def slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Cut a string array into runs of about ``max_bytes`` (a longer text stands alone): (first row, run)."""
     if isinstance(texts, pa.ChunkedArray):

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +41,15 @@ class PieceLengths:
         probe = [e.ids for e in self.tok.encode_batch(["ab 1,", "cd", "ab 1,\n  cd "], add_special_tokens=False)]
         if probe[0] + probe[1] != probe[2]:
             raise ValueError(f"{path}: this tokenizer keeps white space; texts cannot be cut at spaces")
-        self.memo: dict[str, int] = {}
+        self.memo = ts.Recent(MEMO_PIECES)
 
     def __call__(self, pieces: list[str]) -> np.ndarray:
         memo = self.memo
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
         out = np.zeros(len(pieces), np.int64)
         todo, size = [], 0
         for i, p in enumerate(pieces):
-            n = memo.get(p, -1)
-            if n >= 0:
+            n = memo.get(p)
+            if n is not None:
                 out[i] = n
                 continue
             todo.append(i)
@@ -67,12 +64,7 @@ class PieceLengths:
         for i, e in zip(todo, self.tok.encode_batch([pieces[i] for i in todo], add_special_tokens=False)):
             out[i] = n = len(e)
             if len(pieces[i]) <= MEMO_CHARS:
-                self.memo[pieces[i]] = n
-
-
-@lru_cache(maxsize=2)
-def _lengths(path: str) -> PieceLengths:
-    return PieceLengths(path)
+                self.memo.put(pieces[i], n)
 
 
 def slice_counts(texts: pa.Array, lengths: PieceLengths) -> np.ndarray:
@@ -90,8 +82,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
     """``id_col``, ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens) per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = _lengths(tokenizer_path)
-        for batch in batches:
+        lengths = PieceLengths(tokenizer_path)  # for this task only: a worker that lives on keeps no table
+        for batch in ts.lean_batches(batches):
             for start, texts in ts.slices(batch.column(1)):
                 n = slice_counts(texts, lengths)
                 yield pa.RecordBatch.from_arrays(
