@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
-from .tables import crc32_mod
+from .tables import crc32_mod, hash_sample
 
 BUCKETS = 1 << 14
 RANK = 8
@@ -147,14 +147,14 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         meta_col: str = "n_chars", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Machine from the ``sample_rows`` labelled rows of smallest hash; ``labelled`` holds only rows to learn from."""
     marks = (labelled.where(F.col(label_col).isNotNull()).groupBy(id_col)
-             .agg((F.max(label_col) > 0).cast("double").alias("_y"))
-             .withColumn("_h", F.xxhash64(F.col(id_col), F.lit(SEED))).orderBy("_h", id_col).limit(sample_rows))
+             .agg((F.max(label_col) > 0).cast("double").alias("_y")))
+    marks = hash_sample(marks, id_col, sample_rows, SEED).withColumn("_h", F.xxhash64(F.col(id_col), F.lit(SEED)))
     # The sample's size is bounded, so its ids may be broadcast and its vectors gathered in one task.
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("_t"), F.col(meta_col).cast("double").alias("_m"))
     sample = rows.join(F.broadcast(marks), id_col).select("_h", "_y", "_m", "_t")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.lean_batches(batches):
             for start, texts in ts.slices(batch.column(3)):
                 row, bucket, value = _hashed(texts)
                 cut = np.searchsorted(row, np.arange(1, len(texts)))
@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
                      pa.array(list(numbers), pa.list_(pa.float64()))], names=["h", "y", "bucket", "value", "numbers"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [r for batch in batches for r in batch.to_pylist()]
+        got = [r for batch in ts.lean_batches(batches) for r in batch.to_pylist()]
         got.sort(key=lambda r: (r["h"], r["bucket"], r["value"]))  # the same model however the rows arrive
         y = np.array([r["y"] for r in got])
         if len(got) and 0 < y.mean() < 1:
@@ -186,7 +186,7 @@ def with_scores(docs: DataFrame, model: Machine, out: str = "score", text_col: s
     keep = list(docs.columns if keep is None else keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.lean_batches(batches):
             for start, texts in ts.slices(batch.column(0)):
                 part = batch.slice(start, len(texts))
                 score = model.score(texts, _meta(part.column(1)))

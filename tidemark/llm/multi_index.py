@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import keep
+from .tables import hash_sample, keep
 
 CENTROIDS = 128  # per half; CENTROIDS ** 2 cells
 PARTS = 16  # groups of first centroids by which entries are dealt
@@ -169,8 +169,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = C
     """The ``k`` nearest by inner product of every query row: query_id, rank (from 1), vec_id, score."""
     id_type = dict(vectors.dtypes)[id_col]
     rows = usable(vectors, id_col, vec_col)
-    sample = (rows.withColumn("_h", F.xxhash64("id", F.lit(SEED))).orderBy("_h", "id").limit(SAMPLE)
-              .select("vec").toPandas()["vec"])
+    sample = hash_sample(rows, "id", SAMPLE, SEED).select("vec").toPandas()["vec"]
     if not len(sample):
         return rows.limit(0).select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                                     F.lit(0.0).alias("score"))

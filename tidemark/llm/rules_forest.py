@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
-from .tables import keep
+from .tables import hash_sample, keep
 
 TREES = 100
 TREE_ROWS = 1024  # rows drawn for each tree
@@ -41,7 +41,7 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns = [ts.RATIOS.index(c) for c in SPLIT_ON]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.lean_batches(batches):
             for start, texts in ts.slices(batch.column(1)):
                 s = ts.statistics(texts)
                 feats = ts.ratios(s)[:, columns]
@@ -108,7 +108,7 @@ def _average_path(n: int) -> float:
 
 def with_scores(stats: DataFrame, forest: Forest, out: str = "anomaly") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ts.lean_batches(batches):
             if batch.num_rows:
                 f = batch.column(batch.schema.get_field_index("features"))
                 x = f.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
@@ -122,8 +122,7 @@ def fit(stats: DataFrame, labelled: DataFrame, id_col: str, label_col: str, tree
     """Forest from a bounded sample of the labelled rows; threshold from all of them (None: no usable labels)."""
     marks = labelled.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_label"))
     known = stats.where(f"NOT ({BASE_FAILED})").select(id_col, "features").join(marks, id_col)
-    sample = (known.select(F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), "features")
-              .orderBy("h", "features").limit(sample_rows).toPandas()["features"])
+    sample = hash_sample(known, id_col, sample_rows, seed).select("features").toPandas()["features"]
     if len(sample) < 2:
         return None
     forest = Forest(np.array(sample.tolist(), dtype=np.float64), trees, size, depth, seed)
