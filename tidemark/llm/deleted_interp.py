@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import textstats as ts
 from .tables import keep, partitions
 
-BLOCK_IDS = 8192
+BLOCK_IDS = 2048
 HELD_SHARE = 20  # one in so many training documents is held out for the weights
 EM_ROUNDS = 60
 # Roles of documents, and with them of blocks.
@@ -112,7 +112,7 @@ def _questions(rows: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in ts.lean_batches(batches):
                 blocks = batch.column(0).to_numpy()
                 for block in np.unique(blocks):
                     keys, n = _block_grams(batch.column(1).take(pa.array(np.flatnonzero(blocks == block))))
