@@ -124,6 +124,27 @@ def test_bootstrap_finds_identifiers_of_a_known_pattern(spark):
     assert spans == {30: [(3, 12, 26)], 31: [], 32: []}
 
 
+def test_bootstrap_finds_as_many_unseen_as_known(spark):
+    """Unknown instances are neutral; those that fail the kind's check speak against the pattern."""
+    known = [f"call us at +1 ({200 + i}) 555-{1000 + i} today" for i in range(30)]
+    new = [f"reach me at ({300 + i}) 555-{7000 + i} please" for i in range(30)]
+    rows = pii_bootstrap.find(docs(spark, known + new)).where("doc_id >= 30").collect()
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in rows} == {
+        30 + i: [(3, 12, 26)] for i in range(30)}
+    against = [f"see lines {100 + i}-{1000 + i} there" for i in range(30)]
+    rows = pii_bootstrap.find(docs(spark, known + against)).where("doc_id >= 30").collect()
+    assert all(r.spans == [] for r in rows)
+
+
+def test_bootstrap_finds_numbers_in_long_runs(spark):
+    known = [f"call us at +1 ({200 + i}) 555-{1000 + i} today" for i in range(30)]
+    run = "list: " + " ".join(f"({300 + i}) 555-{7000 + i}" for i in range(12)) + " end"
+    two = "both (919) 555-7777 (919) 555-7778 here"
+    rows = pii_bootstrap.find(docs(spark, [*known, run, two])).where("doc_id >= 30").collect()
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in rows} == {
+        30: [(3, 6 + 15 * i, 20 + 15 * i) for i in range(12)], 31: [(3, 5, 19), (3, 20, 34)]}
+
+
 def test_masking(spark):
     d = docs(spark, ["mail a@b.cd or +49 30 123456-78!", None, "none", "x@y.zz"]).withColumn("n_chars", F.lit(1))
     got = {r.doc_id: r.text for r in pii_bootstrap.masked(d).collect()}

@@ -4,17 +4,21 @@ Base rules find e-mail addresses, IP numbers, card numbers and phone numbers.
 They are the seeds of a bipartite graph between *instances* (strings that hold a
 digit or an @, such as ``(988) 555-2485``) and lexical *patterns* of their
 occurrences: the whole shape, the shape's end, the word before with a coarse
-shape.  Each round scores a pattern, per kind, by the share of its instances
-that are already known, and an instance by the confident patterns it occurs in;
-instances above the threshold count as known in the next round.  Occurrences of
-accepted instances outside the base spans are the added spans.
+shape.  Each round scores a pattern, per kind, by its known instances against
+those that contradict the kind: known ones of another kind, and unknown ones
+that fail the kind's own check (digits, Luhn, octets, @).  Other unknown
+instances are neutral, however many.  An instance is scored by the confident
+patterns it occurs in; instances above the threshold count as known in the next
+round.  Occurrences of accepted instances outside the base spans are the added
+spans.
 
 The scan writes one narrow table (spans and candidates per document); the graph
 is aggregated per (pattern, instance) before any join, so a common pattern is a
 sum, not a group.
 
 Cases: a null text is an empty one and has no spans; repeated rows each get their
-spans; candidates longer than ``LONGEST`` code points are no identifiers;
+spans; a run of numbers longer than any identifier is split into its numbers;
+other candidates longer than ``LONGEST`` code points are no identifiers;
 without seeds nothing is added; extra columns pass through ``masked``.
 """
 
@@ -38,9 +42,16 @@ SPACE = r"\x20\x09-\x0D"
 CANDIDATE = (rf"(?<![^{SPACE}])(?:[+(]*+[0-9][0-9().+\x20-]*[0-9](?![^{SPACE}.,;:!?)])"
              rf"|[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+)")
 LONGEST = 128
+# A run of numbers with more digits than any kind has holds several: a whole international number, a number with its
+# area code in brackets, or a word.
+MOST_DIGITS = 19
+NUMBERS = r"[0-9().+\x20-]++"
+NUMBER = (r"\+[0-9](?:[().\x20-]*+[0-9]){8,14}+(?![().\x20-]*+[0-9])"
+          r"|(?:\+[0-9]{1,3}[\x20.-]?|1[\x20.-])?\([0-9]++\)[\x20.-]*+[0-9]++(?:[.-][0-9]++)*+"
+          r"|\+?[0-9]++(?:[().+-]++[0-9]++)*+")
 
 ROUNDS = 3
-CONFIDENT = 0.9  # least pattern confidence, and least instance score to be accepted
+CONFIDENT = 0.9  # least pattern confidence (known against contradicting instances), and least instance score to be accepted
 SUPPORT = 5  # least known instances of a confident pattern
 
 _SPANS = "array<struct<start:int,end:int,hit:string>>"
@@ -112,6 +123,16 @@ def _trimmed(s: Column) -> Column:
     return F.struct(start.alias("start"), (start + F.char_length(hit)).alias("end"), hit.alias("hit"))
 
 
+def _numbers(s: Column) -> Column:
+    """A candidate, or the numbers of a run that is too long for one."""
+    size = F.char_length(s["hit"])
+    many = (size > MOST_DIGITS) & F.regexp_like(s["hit"], F.lit(f"^{NUMBERS}$")) & (
+        (size > LONGEST) | (F.char_length(_digits(s["hit"])) > MOST_DIGITS))
+    return F.when(many, F.transform(_spans(s["hit"], NUMBER), lambda x: F.struct(
+        (s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end"), x["hit"].alias("hit"))))\
+        .otherwise(F.array(s))
+
+
 def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id, base spans and candidates (with the word before) of every document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -119,7 +140,8 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     before = lambda s: F.regexp_extract(F.substring(F.col("t"), F.greatest(s["start"] - 63, F.lit(1)),
                                                     F.least(s["start"], F.lit(64))),
                                         rf"([^{SPACE}]++)[{SPACE}]*+$", 1)
-    raw = F.transform(F.filter(_spans(F.col("t"), CANDIDATE), lambda s: s["end"] - s["start"] <= LONGEST), _trimmed)
+    raw = F.transform(F.filter(F.flatten(F.transform(_spans(F.col("t"), CANDIDATE), _numbers)),
+                               lambda s: s["end"] - s["start"] <= LONGEST), _trimmed)
     free = F.transform(raw, lambda s: F.struct(
         s["start"], s["end"], s["hit"], F.lower(before(s)).alias("before"),
         F.get(F.filter(F.transform(F.col("base"), lambda b: F.when(
@@ -148,20 +170,28 @@ def _patterns(hit: Column, before: Column) -> Column:
         lambda p: p.isNotNull())
 
 
+def _fits(hit: Column) -> Column:
+    """Array by kind: whether the instance passes the kind's own check, whatever its form."""
+    digits, letters = _digits(hit), F.regexp_like(hit, F.lit("[A-Za-z]"))
+    octets = F.regexp_extract_all(hit, F.lit("[0-9]+"), F.lit(0))
+    return F.array(
+        F.regexp_like(hit, F.lit("[^@]@[^@]")),
+        ~letters & (F.size(octets) == 4) & F.forall(octets, _octet),
+        F.when(letters | ~F.char_length(digits).between(13, 19), False).otherwise(_luhn(digits)),
+        ~letters & F.char_length(digits).between(9, 15))
+
+
 def bootstrap(scan: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
     """(hit, kind, score) of the accepted instances that are no seeds, from the scan's candidates."""
     occ = scan.select(F.explode("cand").alias("c")).select("c.*").where("seed IS NOT NULL OR NOT taken")
     edges = keep(occ.select(F.explode(_patterns(F.col("hit"), F.col("before"))).alias("pattern"), "hit", "seed")
-                 .groupBy("pattern", "hit").agg(F.min("seed").alias("seed")), "pii_edges")
-    size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("pattern", "hit").agg(F.min("seed").alias("seed")).withColumn("fits", _fits(F.col("hit"))),
+                 "pii_edges")
     seeds = edges.where("seed IS NOT NULL").groupBy("hit").agg(F.min("seed").alias("kind")).withColumn(
         "score", F.lit(1.0))
     known = seeds
     for r in range(rounds):
-        strength = (edges.select("pattern", "hit").join(known, "hit").groupBy("pattern", "kind")
-                    .agg(F.sum("score").alias("w"), F.count(F.lit(1)).alias("k")))
-        good = (strength.join(size, "pattern").withColumn("conf", F.col("w") / (F.col("n") + 0.5))
-                .where((F.col("conf") >= confident) & (F.col("k") >= support)).select("pattern", "kind", "conf"))
+        good = _confident(edges, known, confident, support)
         # An instance is the noisy-or of its confident patterns.
         scored = (edges.where("seed IS NULL").select("pattern", "hit").join(good, "pattern").groupBy("hit", "kind")
                   .agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("conf"), F.lit(0.999)))))).alias("score")))
@@ -169,10 +199,25 @@ def bootstrap(scan: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDEN
                 .select("hit", (-F.col("b.minus")).alias("kind"), F.col("b.score").alias("score"))
                 .where(F.col("score") >= confident))
         found = keep(best, f"pii_round_{r}")
-        known = seeds.unionByName(found)
+        known = seeds.unionByName(found.join(seeds, "hit", "left_anti"))
     return found if rounds else seeds.limit(0)
 
 
+def _confident(edges: DataFrame, known: DataFrame, confident: float, support: int) -> DataFrame:
+    """(pattern, kind, conf) of the patterns whose known instances of a kind outweigh those that contradict it."""
+    kinds = range(len(KINDS))
+    of = edges.select("pattern", "hit", "fits").join(known, "hit", "left")
+    per = of.groupBy("pattern").agg(F.array(*[F.struct(
+        F.lit(k).alias("kind"),
+        F.sum(F.when(F.col("kind") == k, F.col("score"))).alias("w"),
+        F.count(F.when(F.col("kind") == k, 1)).alias("k"),
+        F.count(F.when(F.coalesce(F.col("kind") != k, ~F.col("fits")[k]), 1)).alias("against")) for k in kinds]).alias(
+            "s"))
+    return (per.select("pattern", F.explode("s").alias("s")).select("pattern", "s.*")
+            .withColumn("conf", F.col("w") / (F.col("w") + F.col("against") + 0.5))
+            .where((F.col("conf") >= confident) & (F.col("k") >= support)).select("pattern", "kind", "conf"))
+
+
 def _added(scan: DataFrame) -> DataFrame:
     """(id, added): the occurrences of accepted instances outside the base spans, per id."""
     new = bootstrap(scan)
