@@ -159,6 +159,20 @@ def test_reconcile_stream_is_one_to_one(stream_env):
     assert want.groupBy("tx_id", "status").count().where("status = 'matched' AND count > 1").count() > 0
 
 
+def test_reconcile_stream_keeps_receipts_without_id(stream_env):
+    """Receipts of a NULL or empty tx id are reported as in the batch form; such pays are left out of both."""
+    def holes(df):
+        n = F.col("event_id") % 5
+        return df.withColumn("tx_id", F.when(n == 1, F.lit("")).when(n != 2, F.col("tx_id")))
+
+    s, b = stream_env["stream"], stream_env["batch"]
+    got = _run(stream_env, replay.reconcile(holes(ad.pay_events(s)), holes(ad.receipts(s)), "5 minutes"), "unnamed")
+    want = payments.reconcile(holes(ad.pay_events(b)), holes(ad.receipts(b)), "5 minutes")
+    real = F.coalesce("pay_ts", "receipt_ts") <= F.lit(stream_env["max_ts"])
+    _same(got.where(real), want)
+    assert want.where("tx_id IS NULL").count() > 0 and want.where("tx_id = ''").count() > 0
+
+
 def test_login_streams(stream_env):
     s, b = stream_env["stream"], stream_env["batch"]
     ep = _real(_run(stream_env, replay.login_fail_episodes(ad.logins(s), "6 hours", 2),

@@ -397,14 +397,19 @@ class PairInOrder(_Replay):
 def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds", delay: str | None = None) -> DataFrame:
     """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - streaming ``payments.reconcile``, one to one.
 
-    Rows of a missing tx id match nothing: pays are dropped, receipts reported at once by the caller's own filter.
+    Rows of a NULL or empty tx id match nothing: pays are dropped, receipts reported at once, without state.
     """
     named = F.col("tx_id").isNotNull() & (F.col("tx_id") != "")
     p = _watermarked(pays.where(named), delay).select(
         "tx_id", "ts", _us(), "event_id", F.lit(True).alias("is_pay"), F.col("order_id").cast("string").alias("what"))
-    r = _watermarked(receipts.where(named), delay).select(
+    receipts = _watermarked(receipts, delay)
+    r = receipts.where(named).select(
         "tx_id", "ts", _us(), "event_id", F.lit(False).alias("is_pay"), F.col("pay_channel").alias("what"))
     out = _replay(p.unionByName(r), ["tx_id"], PairInOrder(duration_us(tolerance)),
                   "tx_id STRING, order_id STRING, pay_us BIGINT, receipt_us BIGINT, pay_channel STRING, status STRING")
-    return out.select("tx_id", F.col("order_id").cast("bigint").alias("order_id"), _from_us("pay_us").alias("pay_ts"), _from_us("receipt_us").alias("receipt_ts"),
-                      "pay_channel", "status")
+    out = out.select("tx_id", F.col("order_id").cast("bigint").alias("order_id"), _from_us("pay_us").alias("pay_ts"), _from_us("receipt_us").alias("receipt_ts"),
+                     "pay_channel", "status")
+    unnamed = receipts.where(~F.coalesce(named, F.lit(False))).select(
+        "tx_id", F.lit(None).cast("bigint").alias("order_id"), F.lit(None).cast(dict(out.dtypes)["pay_ts"]).alias("pay_ts"),
+        _us().alias("receipt_us"), "pay_channel", F.lit("receipt_without_pay").alias("status"))
+    return out.unionByName(unnamed.withColumn("receipt_ts", _from_us("receipt_us")).drop("receipt_us"))
