@@ -138,6 +138,31 @@ def test_join_of_groups_larger_than_a_node(spark, monkeypatch):
     assert {i: c for i, (_, c) in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_runs_hold_the_recall_at_the_deepest_level():
+    """A pair at the threshold, its equal tokens varying, whose common nodes split to the last level."""
+    deepest, miss = chosen_path.LEVELS + 1, 1 - chosen_path.RECALL
+    first, more = chosen_path.plan_runs(chosen_path.RECALL, deepest)
+    assert chosen_path.lost(15, 0, deepest) > 0.02
+    assert chosen_path.lost(first, more, deepest) <= miss < chosen_path.lost(first, more - 1, deepest)
+    assert chosen_path.lost(first, 0, chosen_path.SPLITS) <= miss
+
+
+def test_join_recall_at_the_last_level(spark, monkeypatch):
+    """A group of different near copies at the threshold, in nodes that split to the last level: links are found."""
+    monkeypatch.setattr(chosen_path, "BUCKET", 24)
+    rng = np.random.default_rng(11)
+    base = " ".join(f"w{i}" for i in range(97))
+    texts = near_copies(rng, base, 90, 1)
+    seen, block = [], chosen_path.keep
+    monkeypatch.setattr(chosen_path, "keep", lambda df, name: seen.append(name) or block(df, name))
+    got = {r.doc_id: r.n_links for r in chosen_path.jaccard_join(docs(spark, texts)).collect()}
+    want = {i: n for i, (n, _) in brute_join(list(enumerate(texts))).items()}
+    assert f"nodes_{chosen_path.LEVELS}" in seen
+    found = sum(got.values()) / sum(want.values())
+    print("recall", found)
+    assert all(got[i] <= want[i] for i in want) and found >= chosen_path.RECALL
+
+
 def test_join_edge_rows(spark):
     texts = [None, "", "  ", "one two", "one  two", "one three", "a b c d e", "a b c d e", "word " * 6000, "word " * 300]
     d = docs(spark, texts).withColumn("rep", F.lit("clash")).withColumn("class_id", F.lit(1))

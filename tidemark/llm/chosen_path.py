@@ -5,8 +5,10 @@ tokens.  A run splits all sets recursively: at a node, each token is sampled
 with probability 1 / (similarity * TOKENS), and a set goes to the children of the
 sampled tokens it holds.  Sets that share a node of at most ``BUCKET`` sets are
 compared there; larger nodes split on.  A pair at the least similarity stays
-together along at least one path of a run with a constant probability, so the
-number of runs follows from the target recall.
+together along at least one path of a run with a probability that falls with
+the number of splits, so the number of runs follows from the target recall: all
+sets take the runs for ``SPLITS`` splits, and sets of nodes that split on after
+that take further ones, for the deepest level, among themselves.
 
 * Documents with equal sets are one class before anything else, so copies never
   meet in a node.
@@ -29,6 +31,7 @@ are one document repeated, copies of each other; extra columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -44,17 +47,43 @@ from .tables import keep
 TOKENS = 64
 BUCKET = 4096
 LEVELS = 6
+SPLITS = 3
 RECALL = 0.999
 LIKELY = 0.25  # tokens may agree this much less than the threshold (5 standard deviations) for a pair to be checked
 SEED = 29
 
 
-def runs_for(recall: float, levels: int = 3) -> int:
+def _parted(splits: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(weight, probability) that a run parts a pair at the threshold within ``splits`` splits, by its equal tokens."""
+    equal = np.arange(TOKENS + 1)
+    weight = np.array([math.comb(TOKENS, int(k)) * similarity ** k * (1 - similarity) ** (TOKENS - k) for k in equal])
+    p = np.ones(TOKENS + 1)
+    for _ in range(splits):
+        p = 1 - np.exp(-equal / (similarity * TOKENS) * p)
+    return weight, 1 - p
+
+
+def runs_for(recall: float, levels: int = SPLITS, similarity: float = 0.8) -> int:
     """Runs until a pair at the threshold has met with probability ``recall``, when nodes split ``levels`` times."""
-    p = 1.0
-    for _ in range(levels):
-        p = 1 - math.exp(-p)
-    return math.ceil(math.log(1 - recall) / math.log(1 - p))
+    weight, parted = _parted(levels, similarity)
+    return next(r for r in itertools.count(1) if weight @ parted ** r <= 1 - recall)
+
+
+def lost(runs: int, more: int, deepest: int, similarity: float = 0.8) -> float:
+    """Probability that a pair at the threshold is lost, whose common nodes may split ``deepest`` times.
+
+    Either no run keeps it together for ``SPLITS`` splits, or it shares a node that splits on, and is then parted in
+    all runs and all ``more`` ones that the sets of such nodes take.
+    """
+    weight, early = _parted(SPLITS, similarity)
+    late = _parted(max(deepest, SPLITS), similarity)[1]
+    return float(weight @ (early ** runs + (late ** runs - early ** runs) * late ** more))
+
+
+def plan_runs(recall: float, deepest: int, similarity: float = 0.8) -> tuple[int, int]:
+    """Runs of all sets and further runs of the sets in deep nodes; one run above the least leaves room for these."""
+    first = runs_for(recall, SPLITS, similarity) + 1
+    return first, next(m for m in itertools.count() if lost(first, m, deepest, similarity) <= 1 - recall)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -128,9 +157,9 @@ def _sampled(node: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarra
     return np.nonzero(draw < np.uint64(int(2.0 ** 64 / (similarity * TOKENS))))
 
 
-def _split(rows: DataFrame, similarity: float, runs: int, id_type: str) -> DataFrame:
+def _split(rows: DataFrame, similarity: float, runs: range, id_type: str) -> DataFrame:
     """(node, rep) of the children: of every run's root if ``rows`` has no ``node``, else of each row's node."""
-    roots = _mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(1_000_003 + SEED))
+    roots = _mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(1_000_003 + SEED))
     at_root = "node" not in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +187,19 @@ def _split(rows: DataFrame, similarity: float, runs: int, id_type: str) -> DataF
 
 def _nodes(reps: DataFrame, similarity: float, recall: float, id_type: str) -> DataFrame:
     """(node, rep, side) of all nodes to compare: at most BUCKET rows each; side 1 and 2 meet, side 0 meets all."""
-    frontier = _split(reps, similarity, runs_for(recall), id_type)
-    done = None
+    first, more = plan_runs(recall, LEVELS + 1, similarity)
+    done, deep = _descend(reps, similarity, range(first), id_type)
+    if deep is None:
+        return done
+    deep = keep(deep.distinct(), "deep")
+    again = range(first, first + more)
+    return done.unionByName(_descend(reps.join(deep, "rep"), similarity, again, id_type)[0])
+
+
+def _descend(reps: DataFrame, similarity: float, runs: range, id_type: str) -> tuple[DataFrame, DataFrame | None]:
+    """The nodes to compare of these runs, and (rep) of the sets in nodes that are too large after ``SPLITS`` splits."""
+    frontier = _split(reps, similarity, runs, id_type)
+    done = deep = None
     for level in range(LEVELS + 1):
         sizes = frontier.groupBy("node").count().where("count > 1")
         sized = keep(frontier.join(sizes, "node"), f"nodes_{level}")
@@ -167,17 +207,19 @@ def _nodes(reps: DataFrame, similarity: float, recall: float, id_type: str) -> D
         large = sized.where(F.col("count") > BUCKET)
         done = small if done is None else done.unionByName(small)
         if large.isEmpty():
-            return done
+            return done, deep
         if level < LEVELS:
-            frontier = _split(large.select("node", "rep").join(reps.select("rep", "tokens"), "rep"), similarity, 0,
-                              id_type)
+            if level == SPLITS - 1:
+                deep = large.select("rep")
+            frontier = _split(large.select("node", "rep").join(reps.select("rep", "tokens"), "rep"), similarity,
+                              range(0), id_type)
     # Blocks of a node that no token splits: every pair of blocks is a node of its own.
     blocks = large.withColumn("_of", F.expr(f"cast(ceil(2 * count / {BUCKET}) as int)")).withColumn(
         "_b", F.expr("cast(pmod(xxhash64(rep, 1), _of) as int)"))
     pairs = blocks.withColumn("_o", F.explode(F.expr("sequence(0, _of - 1)"))).select(
         F.xxhash64("node", F.least("_b", "_o"), F.greatest("_b", "_o")).alias("node"), "rep",
         F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2).alias("side"))
-    return done.unionByName(pairs)
+    return done.unionByName(pairs), deep
 
 
 def _may_meet(side: np.ndarray) -> np.ndarray:
