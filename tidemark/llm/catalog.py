@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chosen_path, deleted_interp, fm_quality, mixing, multi_index, pii_bootstrap, rules_forest, sharding, token_counts
+from . import (bpe, chosen_path, deleted_interp, fm_quality, hash_index, mixing, multi_index, pii_bootstrap, rules_forest,
+               sharding, token_counts)
 from .mixing import Level
 from .tables import crc32_mod, keep, read
 
@@ -147,6 +148,17 @@ SELECT doc_id, {using}, tokens, CAST(UNNEST(range(CAST(full_epochs + CASE WHEN u
   AS BIGINT))) AS INT) AS epoch FROM run"""
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_index.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""WITH t AS (SELECT doc_id, COALESCE(text, '') AS whole,
+    regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm ORDER BY length(whole) DESC, doc_id)"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -158,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {"op10_mixing": _mix_sql()}
+ORACLE: dict[str, str] = {"op10_mixing": _mix_sql(), "op11_exact_dedup": OP11_SQL}
