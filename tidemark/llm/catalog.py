@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, chosen_path, deleted_interp, fm_quality, hash_index, mixing, multi_index, pii_bootstrap, rules_forest,
-               sharding, token_counts)
+               sharding, suffix_runs, token_counts)
 from .mixing import Level
 from .tables import crc32_mod, keep, read
 
@@ -159,6 +159,32 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM t WINDOW w AS (PARTITION BY norm ORDER BY length(whole) DESC, doc_id)"""
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, by the checksum of its id, the words from some place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    laid = (docs.select("doc_id", "text", words.alias("w"), F.floor(h / 10).cast("long").alias("g"))
+            .withColumn("n", F.size("w"))
+            .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+            .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")))
+    unit = F.slice("w", F.col("a") + 1, F.least(F.col("p"), F.col("n") - F.col("a")))
+    rounds = F.flatten(F.array_repeat(unit, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    rebuilt = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), rounds), F.lit(1), F.col("n")), " ")
+    return laid.select("doc_id", F.when(F.col("n") > 0, rebuilt).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_runs.periodic_runs(with_planted_periods(read(spark, sf_dir, "documents")), min_words=24, min_periods=3)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -171,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {"op10_mixing": _mix_sql(), "op11_exact_dedup": OP11_SQL}
