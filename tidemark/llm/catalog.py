@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chosen_path, deleted_interp, fm_quality, hash_index, mixing, multi_index, pii_bootstrap, rules_forest,
-               sharding, suffix_runs, token_counts)
+from . import (bpe, chosen_path, deleted_interp, fm_quality, hash_index, mixing, multi_index, pii_bootstrap, prefix_trie,
+               rules_forest, sharding, suffix_runs, token_counts)
 from .mixing import Level
 from .tables import crc32_mod, keep, read
 
@@ -185,6 +185,22 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def with_shared_starts(conversations: DataFrame) -> DataFrame:
+    """Every conversation with up to three turns of the first of its twenty ids in place of its own."""
+    c = F.col("conv")
+    taken = (F.crc32(c.cast("string").cast("binary")) % 4).cast("int")
+    heads = conversations.where(c % 20 == 0).select(c.alias("_head"), F.slice("turns", 1, 3).alias("_start"))
+    start = F.coalesce(F.slice("_start", F.lit(1), taken), F.slice("turns", 1, 0))
+    rest = F.slice("turns", taken + 1, F.size("turns"))
+    return (conversations.withColumn("_head", c - c % 20).join(heads, "_head", "left")
+            .select("conv", F.concat(start, rest).alias("turns")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = keep(prefix_trie.sequences(read(spark, sf_dir, "conversations")), "own_turns")
+    return prefix_trie.trie(with_shared_starts(own))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -198,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {"op10_mixing": _mix_sql(), "op11_exact_dedup": OP11_SQL}

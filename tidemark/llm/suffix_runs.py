@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
+from .range_minima import Minima
 
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 EXPAND = 1 << 21  # suffixes looked up at once
@@ -97,36 +98,6 @@ class Suffixes:
         return out
 
 
-class Minima:
-    """Range minima of an array, as a sparse table."""
-
-    def __init__(self, values: np.ndarray):
-        self.levels = [values]
-        while 2 << len(self.levels) - 1 <= len(values):
-            last, half = self.levels[-1], 1 << len(self.levels) - 1
-            self.levels.append(np.minimum(last[:-half], last[half:]))
-
-    def after(self, at: np.ndarray, less: np.ndarray) -> np.ndarray:
-        """First place at or after ``at`` whose value is under ``less`` (there is one)."""
-        out = at.copy()
-        for k in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[k]
-            go = out < len(level)
-            go[go] = level[out[go]] >= less[go]
-            out[go] += 1 << k
-        return out
-
-    def before(self, at: np.ndarray, less: np.ndarray) -> np.ndarray:
-        """Last place at or before ``at`` whose value is under ``less`` (there is one)."""
-        out = at.copy()
-        for k in range(len(self.levels) - 1, -1, -1):
-            start = out - (1 << k) + 1
-            go = start >= 0
-            go[go] = self.levels[k][start[go]] >= less[go]
-            out[go] -= 1 << k
-        return out
-
-
 def _small_children(lcp: np.ndarray) -> tuple[np.ndarray, ...]:
     """Bounds of every child but the largest of every LCP interval of depth 1 or more, with the interval's depth and bounds.
 
