@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, floor_div, micros_to_ts
@@ -67,17 +67,27 @@ def window_counts(
         return _by_window(df, ts, keys, size_us, slide_us, count_col)
     instant = dict(df.dtypes)[ts] == "timestamp"
     micros = F.unix_micros(F.col(ts)) if instant else epoch_micros(F.col(ts))
-    panes = df.groupBy(*keys, (floor_div(micros, slide_us) * F.lit(slide_us)).alias("_pane")).agg(
+    panes = df.groupBy(*keys, pane_of(micros, slide_us).alias("_pane")).agg(
         F.count(F.lit(1)).alias("_c")).where(F.col("_pane").isNotNull())
-    if strategy == "step" or (strategy == "auto" and size_us // slide_us > max_expand):
-        counted = _step(panes, keys, size_us, slide_us, count_col)
-    else:
-        counted = _expand(panes, keys, size_us, slide_us, count_col)
+    counted = counts_from_panes(panes, keys, size_us, slide_us, strategy, count_col, max_expand)
     to_ts = F.timestamp_micros if instant else micros_to_ts
     return counted.select(*keys, to_ts(F.col("_ws")).alias("window_start"),
                           to_ts(F.col("_ws") + F.lit(size_us)).alias("window_end"), count_col)
 
 
+def pane_of(micros: Column, slide_us: int) -> Column:
+    """Start of the pane of one slide that holds an instant, in microseconds."""
+    return floor_div(micros, slide_us) * F.lit(slide_us)
+
+
+def counts_from_panes(panes: DataFrame, keys: Sequence[str], size_us: int, slide_us: int, strategy: str = "auto",
+                      count_col: str = "cnt", max_expand: int = 16) -> DataFrame:
+    """(keys, ``_ws``, count) of every window from pane counts (keys, ``_pane``, ``_c``), one row per key and pane."""
+    if strategy == "step" or (strategy == "auto" and size_us // slide_us > max_expand):
+        return _step(panes, list(keys), size_us, slide_us, count_col)
+    return _expand(panes, list(keys), size_us, slide_us, count_col)
+
+
 def _by_window(df: DataFrame, ts: str, keys: list[str], size_us: int, slide_us: int, count_col: str) -> DataFrame:
     w = F.window(F.col(ts), _us_text(size_us), _us_text(slide_us))
     return (

@@ -6,10 +6,10 @@ sees the watermark left by batches ``< n`` (max event time so far minus the
 out-of-orderness bound).  A row is late when even its last sliding window
 has expired: ``floor(ts, slide) + size - 1 ms + lateness <= watermark``.
 
-The running max event time is one number per micro-batch, kept in a small
-parquet log under the stream's checkpoint folder (overwritten by batch id,
-so a replayed batch rewrites the same entry).  Each micro-batch is computed
-once and kept while its late rows are written and its max is taken.
+The running max event time is a note in a versioned table (``streaming.table``): a
+micro-batch reads the newest version before it and commits its own, and only the
+last few versions are kept, however long the stream runs.  Each micro-batch is
+computed once and kept while its late rows are written and its max is taken.
 """
 
 from __future__ import annotations
@@ -19,20 +19,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.timecols import epoch_micros, floor_div, micros_to_ts
 from ..plans.sliding import duration_us
-
-
-def _previous_max(spark, log_path: str, batch_id: int):
-    try:
-        log = spark.read.parquet(log_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # a broken log must not pass for an empty one
-            raise
-        return None  # no batch logged yet
-    return log.where(F.col("batch_id") < batch_id).agg(F.max("max_us")).first()[0]
+from .table import Version, VersionedTable
 
 
 def late_rows_writer(out_path: str, log_path: str, ts: str = "event_time", size: str = "10 minutes",
@@ -41,6 +31,7 @@ def late_rows_writer(out_path: str, log_path: str, ts: str = "event_time", size:
     """``foreachBatch`` function writing each micro-batch's late rows (+ ``watermark``) to ``out_path``."""
     size_us, slide_us = duration_us(size), duration_us(slide)
     bound_us, late_us = duration_us(bound), duration_us(lateness)
+    seen = VersionedTable(log_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -52,7 +43,8 @@ def late_rows_writer(out_path: str, log_path: str, ts: str = "event_time", size:
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         t = epoch_micros(F.col(ts))
-        prev = _previous_max(spark, log_path, batch_id)
+        before = seen.version(spark, before=batch_id)
+        prev = before.meta["max_us"] if before else None
         if prev is not None:
             wm = prev - bound_us
             rows = batch if method is None else batch.where(F.col("method") == method)
@@ -63,7 +55,6 @@ def late_rows_writer(out_path: str, log_path: str, ts: str = "event_time", size:
         cur = batch.agg(F.max(t).alias("m")).first().m
         running = max(v for v in (prev, cur) if v is not None) if (prev is not None or cur is not None) else None
         if running is not None:
-            (spark.createDataFrame([(int(running),)], "max_us bigint")
-             .write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}")))
+            seen.commit(spark, Version(batch_id, meta={"max_us": int(running)}))
 
     return write

@@ -91,7 +91,7 @@ def upsert_windows(path: str, window_col: str = "window_end",
         try:
             if not batch.groupBy(window_col, *keys).count().where("count > 1").isEmpty():
                 raise ValueError(f"several rows for one {(window_col, *keys)}: name the other grouping columns in keys")
-            (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmss"))
+            (batch.withColumn("_w", F.date_format(window_col, "yyyyMMddHHmmssSSSSSS"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_w", *keys).parquet(path))
         finally:
             batch.unpersist()
