@@ -236,12 +236,22 @@ def test_upsert_keeps_other_keys_of_a_window(spark, tmp_path):
     assert {(r.k, r.c) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {("a", 5), ("b", 2)}
 
 
+class DictState(dict):
+    """A map state in memory."""
+
+    containsKey, getValue, removeKey, updateValue = dict.__contains__, dict.__getitem__, dict.__delitem__, dict.__setitem__
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
 def test_pairing_fold_equals_plain_numbering():
     """Rows arriving in four steps of the watermark give the pairs of numbering both sides at once."""
     rng = random.Random(5)
     for _ in range(50):
         rows = sorted((rng.randrange(200), i, rng.random() < 0.5, f"w{i}") for i in range(rng.randrange(1, 20)))
         fold, state, got, low = PairInOrder(15), None, [], 0
+        fold.waiting = DictState()
         for limit in (40, 90, 150, 1000):
             out, state, _ = fold.fold(("t",), state, [r[:4] for r in rows if low <= r[0] < limit], limit)
             got, low = got + out, limit
@@ -254,4 +264,17 @@ def test_pairing_fold_equals_plain_numbering():
             want += [("t", p[3], p[0], None, None, "pay_without_receipt")] if p else []
             want += [("t", None, None, r[0], r[3], "receipt_without_pay")] if r else []
         assert sorted(got, key=str) == sorted(want, key=str)
-        assert not state[2]  # nothing left waiting
+        assert not fold.waiting  # nothing left waiting
+
+
+def test_partner_after_its_time_to_live():
+    """A pay whose time is over is reported and leaves the map; its receipt, later, stays alone and is the same pair's."""
+    fold = PairInOrder(10)
+    fold.waiting = DictState()
+    out, state, timers = fold.fold(("t",), None, [(100, 1, True, "o1")], 105)
+    assert out == [] and list(fold.waiting) == [(1, True)] and timers == [111]
+    out, state, timers = fold.fold(("t",), state, [], 111)
+    assert out == [("t", "o1", 100, None, None, "pay_without_receipt")] and not fold.waiting and timers == []
+    out, state, _ = fold.fold(("t",), state, [(112, 2, False, "r1"), (113, 3, True, "o2"), (114, 4, False, "r2")], 120)
+    assert out == [("t", None, None, 112, "r1", "receipt_without_pay"), ("t", "o2", 113, 114, "r2", "matched")]
+    assert not fold.waiting and state[:2] == (2, 2)

@@ -204,6 +204,17 @@ def uv_bitmap_hourly(spark, sf_dir):
     return uniques.uv_bitmap(ad.user_behavior(_ev(spark, sf_dir)), "1 hour")
 
 
+@register("uv_sketch_hourly")
+def uv_sketch_hourly(spark, sf_dir):
+    return uniques.uv_from_sketches(uniques.uv_sketches(ad.user_behavior(_ev(spark, sf_dir))), "1 hour")
+
+
+@register("uv_sketch_daily")
+def uv_sketch_daily(spark, sf_dir):
+    """Sliding days by the hour from the hourly sketches."""
+    return uniques.uv_from_sketches(uniques.uv_sketches(ad.user_behavior(_ev(spark, sf_dir))), "1 day", slide="1 hour")
+
+
 @register("uv_running", with_views(f"""SELECT window_end, event_id,
         CAST(sum(inc) OVER (PARTITION BY window_end ORDER BY ts, event_id
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS uv

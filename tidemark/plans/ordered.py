@@ -89,50 +89,3 @@ def running(
         *[c for c in b.columns if c != "_bk"],
         *[_combine(kinds[o], F.col(f"_o_{o}"), _agg(kinds[o], v).over(inner)).alias(o) for o, v in values.items()],
     )
-
-
-def neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    bucket: Column,
-    prev: Mapping[str, str] | None = None,
-    nxt: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """Add the previous row's / next row's columns within each key (``lag``/``lead`` by 1).
-
-    ``prev={'prev_ts': 'ts'}`` adds the preceding row's ``ts``; ``nxt`` likewise
-    with the following row.  Rows crossing a bucket edge get their neighbour
-    from the last (first) row of the nearest non-empty earlier (later) bucket.
-    """
-    prev, nxt = dict(prev or {}), dict(nxt or {})
-    keys, order = list(keys), list(order)
-    b = df.withColumn("_bk", bucket)
-    pcols = sorted(set(prev.values()))
-    ncols = sorted(set(nxt.values()))
-    ordkey = [F.col(c) for c in order]
-    edge_aggs = []
-    if pcols:
-        edge_aggs.append(F.max(F.struct(*ordkey, *[F.col(c).alias(f"v_{c}") for c in pcols])).alias("_last"))
-    if ncols:
-        edge_aggs.append(F.min(F.struct(*ordkey, *[F.col(c).alias(f"v_{c}") for c in ncols])).alias("_first"))
-    edges = b.groupBy(*keys, "_bk").agg(*edge_aggs)
-    wb = _by(keys).orderBy("_bk")
-    sel = [*keys, "_bk"]
-    if pcols:
-        sel.append(F.lag("_last").over(wb).alias("_pl"))
-    if ncols:
-        sel.append(F.lead("_first").over(wb).alias("_nf"))
-    edges = edges.select(*sel)
-    j = join_back(b, edges, [*keys, "_bk"])
-    wi = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    out = [F.col(c) for c in b.columns if c != "_bk"]
-    for o, c in prev.items():
-        inb = F.lag(c).over(wi)
-        first_in_bucket = F.row_number().over(wi) == 1
-        out.append(F.when(first_in_bucket, F.col(f"_pl.v_{c}")).otherwise(inb).alias(o))
-    for o, c in nxt.items():
-        inb = F.lead(c).over(wi)
-        last_in_bucket = F.lead(F.lit(1)).over(wi).isNull()
-        out.append(F.when(last_in_bucket, F.col(f"_nf.v_{c}")).otherwise(inb).alias(o))
-    return j.select(*out)

@@ -344,20 +344,24 @@ def ad_click_numbers(clicks: DataFrame, max_click: int = 100, daily_reset: bool
 class PairInOrder(_Replay):
     """J2, one to one: the n-th pay of a tx id with its n-th receipt when they are at most ``tolerance`` apart.
 
-    A row waits until its partner has come or the watermark has passed its range; every row is reported once.  The
-    two counters of a tx id are kept, so that later rows go on numbering.
+    A row waits in a map state under (n, side) until its partner has come or the watermark has passed its range, its
+    time to live; every row is reported once.  A row's partner is one look-up, however many rows of the tx id wait.
+    The two counters of a tx id are kept, so that later rows go on numbering.
     """
 
     # ``what``: a pay's order id as text, a receipt's channel.
     FIELDS = ("ts_us", "event_id", "is_pay", "what")
     BUF = "ts_us BIGINT, event_id BIGINT, is_pay BOOLEAN, what STRING"
-    STATE = ("pays BIGINT, receipts BIGINT, open_n ARRAY<BIGINT>, open_pay ARRAY<BOOLEAN>, open_us ARRAY<BIGINT>, "
-             "open_what ARRAY<STRING>")
+    STATE = "pays BIGINT, receipts BIGINT, next_expiry BIGINT"
     OUT = ("tx_id", "order_id", "pay_us", "receipt_us", "pay_channel", "status")
 
     def __init__(self, tolerance_us: int):
         self.tolerance_us = tolerance_us
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "n BIGINT, is_pay BOOLEAN", "ts_us BIGINT, what STRING")
+
     @staticmethod
     def _alone(tx, is_pay, t, what):
         if is_pay:
@@ -366,8 +370,7 @@ class PairInOrder(_Replay):
 
     def fold(self, key, state, rows, limit):
         tx = key[0]
-        pays, receipts, *lists = state or (0, 0, [], [], [], [])
-        waiting = {(n, bool(p)): (t, w) for n, p, t, w in zip(*(x if x is not None else [] for x in lists))}
+        pays, receipts, expiry = state or (0, 0, None)
         out = []
         for t, _, is_pay, what in rows:
             if is_pay:
@@ -376,22 +379,30 @@ class PairInOrder(_Replay):
             else:
                 receipts += 1
                 n, seen = receipts, pays
-            partner = waiting.pop((n, not is_pay), None)
-            if partner is not None and abs(partner[0] - t) <= self.tolerance_us:
-                pay, receipt = ((t, what), partner) if is_pay else (partner, (t, what))
-                out.append((tx, pay[1], pay[0], receipt[0], receipt[1], "matched"))
+            if n > seen:  # its partner has not come
+                self.waiting.updateValue((n, is_pay), (t, what))
+                expiry = t + self.tolerance_us + 1 if expiry is None else min(expiry, t + self.tolerance_us + 1)
                 continue
-            if partner is not None:
-                out.append(self._alone(tx, not is_pay, *partner))
-            if n <= seen:  # its partner came before, out of range
+            other = (n, not is_pay)
+            partner = self.waiting.getValue(other) if self.waiting.containsKey(other) else None
+            if partner is None:  # reported when its time was over
                 out.append(self._alone(tx, is_pay, t, what))
+                continue
+            self.waiting.removeKey(other)
+            if abs(partner[0] - t) <= self.tolerance_us:
+                pay, receipt = ((t, what), partner) if is_pay else (partner, (t, what))
+                out.append((tx, pay[1], pay[0], receipt[0], receipt[1], "matched"))
             else:
-                waiting[n, is_pay] = (t, what)
-        for n, is_pay in [k for k, v in waiting.items() if v[0] + self.tolerance_us < limit]:
-            out.append(self._alone(tx, is_pay, *waiting.pop((n, is_pay))))
-        timers = [v[0] + self.tolerance_us + 1 for v in waiting.values()]
-        flat = [[n for n, _ in waiting], [p for _, p in waiting], *([v[i] for v in waiting.values()] for i in range(2))]
-        return out, (pays, receipts, *flat), timers
+                out += [self._alone(tx, not is_pay, *partner), self._alone(tx, is_pay, t, what)]
+        if expiry is not None and expiry <= limit:
+            left, over = [], []
+            for (n, is_pay), (t, what) in self.waiting.iterator():
+                (over if t + self.tolerance_us < limit else left).append(((n, is_pay), t, what))
+            for (n, is_pay), t, what in over:
+                self.waiting.removeKey((n, is_pay))
+                out.append(self._alone(tx, is_pay, t, what))
+            expiry = min((t + self.tolerance_us + 1 for _, t, _ in left), default=None)
+        return out, (pays, receipts, expiry), [] if expiry is None else [expiry]
 
 
 def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds", delay: str | None = None) -> DataFrame:
