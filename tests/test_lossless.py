@@ -278,3 +278,26 @@ def test_partner_after_its_time_to_live():
     out, state, _ = fold.fold(("t",), state, [(112, 2, False, "r1"), (113, 3, True, "o2"), (114, 4, False, "r2")], 120)
     assert out == [("t", None, None, 112, "r1", "receipt_without_pay"), ("t", "o2", 113, 114, "r2", "matched")]
     assert not fold.waiting and state[:2] == (2, 2)
+
+
+def test_reconcile_spreads_hot_and_missing_tx_ids(spark):
+    """A third of the receipts without an id, a third of the pays under one id: the rows of the plain numbering."""
+    rng = random.Random(9)
+    side = lambda n, base: [(base + i, rng.choice(["hot", f"t{rng.randrange(200)}"]) if i % 3 else rng.choice([None, "", "hot"]),
+                             rng.randrange(6 * 3600)) for i in range(n)]
+    frame = lambda rows, extra, name: spark.createDataFrame(rows, "event_id long, tx_id string, t long").select(
+        "event_id", "tx_id", from_epoch_seconds(F.col("t")).alias("ts"), extra.alias(name))
+    pays = frame(side(600, 0), F.col("event_id"), "order_id")
+    receipts = frame(side(600, 10_000), F.lit("wechat"), "pay_channel")
+    assert payments.hot_tx_ids(payments._sides(pays, receipts), 100) == ["hot"]
+    for fn in (payments.reconcile, payments.unmatched_pays, payments.unmatched_receipts):
+        spread, plain = fn(pays, receipts, "5 minutes", hot_rows=100), fn(pays, receipts, "5 minutes")
+        assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+    named = receipts.where("tx_id <> ''").count() + pays.where("tx_id <> ''").count()
+    out = payments.reconcile(pays, receipts, "5 minutes", hot_rows=100)
+    assert out.where("tx_id IS NULL OR tx_id = ''").count() == receipts.count() - receipts.where("tx_id <> ''").count()
+    both = out.where("status = 'matched'").count()
+    assert out.where("tx_id <> ''").count() + both == named
+    # receipts without an id are dealt by their event id
+    unnamed = payments._sides(pays, receipts).where("NOT coalesce(tx_id <> '', false)")
+    assert unnamed.select("_own").distinct().count() == unnamed.count() > 100

@@ -8,7 +8,14 @@
 * ``reconcile``: one-to-one matching.  The i-th pay of a tx_id (by time) pairs
   with its i-th receipt when they are at most ``tolerance`` apart; every other
   row stays unmatched on its own side.  Receipts with a NULL or empty tx id are
-  unmatched.  Status: matched / pay_without_receipt / receipt_without_pay.
+  unmatched; each has a key of its own, so they are spread over all tasks.  Status:
+  matched / pay_without_receipt / receipt_without_pay.
+
+Tx ids are near unique, so rows are numbered per tx id in one exchange.  Ids of very
+many rows are looked for first, with a frequent-items sketch (one scan of the ids,
+a few KB per task), and are numbered by the bucketed scan of ``plans.ordered``, which
+spreads an id over its minutes.  An id that is not among the ``HOT_IDS`` most frequent
+holds at most a thousandth of the rows.
 """
 
 from __future__ import annotations
@@ -17,12 +24,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, floor_div
-from ..plans.ordered import running, ts_bucket
+from ..plans.ordered import MINUTE_US, running, ts_bucket
 from ..plans.sliding import duration_us
 
 
-def _with_tx(pays: DataFrame) -> DataFrame:
-    return pays.where(F.col("tx_id").isNotNull() & (F.col("tx_id") != ""))
+HOT_IDS, TRACKED = 1000, 10_000  # ids that the sketch reports, ids that it follows
+HOT_ROWS = 1 << 20  # rows from which an id is spread
+
+
+def _named():
+    return F.coalesce(F.col("tx_id") != "", F.lit(False))
+
+
+def _with_tx(rows: DataFrame) -> DataFrame:
+    return rows.where(_named())
 
 
 def interval_join(pays: DataFrame, receipts: DataFrame, lower: str = "-3 seconds", upper: str = "5 seconds",
@@ -48,60 +63,77 @@ def _signed_us(text: str) -> int:
     return duration_us(text.lstrip("+"))
 
 
+def hot_tx_ids(rows: DataFrame, least: int = HOT_ROWS) -> list[str]:
+    """The tx ids of ``least`` rows or more among the ``HOT_IDS`` most frequent ones (counts are the sketch's)."""
+    top = _with_tx(rows).agg(F.expr(f"approx_top_k(tx_id, {HOT_IDS}, {TRACKED})").alias("top")).first().top
+    return [r["item"] for r in top or [] if r["count"] >= least]
+
+
 def _sides(pays: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Pays and receipts as one tagged table, so that both meet in a single exchange on the tx id."""
+    """Pays and receipts as one tagged table, so that both meet in a single exchange on the tx id.
+
+    ``_own``: NULL, or the event id of a receipt without a tx id, which so meets no other row.
+    """
     p = _with_tx(pays).select("tx_id", F.lit(True).alias("is_pay"), "ts", "event_id", "order_id",
                               F.lit(None).cast("string").alias("pay_channel"))
     r = receipts.select("tx_id", F.lit(False).alias("is_pay"), "ts", "event_id",
                         F.lit(None).cast(dict(p.dtypes)["order_id"]).alias("order_id"), "pay_channel")
-    return p.unionByName(r)
+    return p.unionByName(r).withColumn("_own", F.when(~_named(), F.col("event_id")))
 
 
 def _numbered(rows: DataFrame, bucket_us: int | None) -> DataFrame:
     """``nth``: the row's number among its side's rows of the tx id."""
-    keys, order = ["tx_id", "is_pay"], ["ts", "event_id"]
+    keys, order = ["tx_id", "_own", "is_pay"], ["ts", "event_id"]
     if bucket_us is None:
         # The pair of the n-th rows then aggregates on (tx_id, nth), which this exchange already serves.
-        by_tx = rows.repartition("tx_id")
+        by_tx = rows.repartition("tx_id", "_own")
         return by_tx.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return running(rows, keys, order, ts_bucket("ts", bucket_us), {"nth": F.lit(1).cast("bigint")})
 
 
-def _paired(pays: DataFrame, receipts: DataFrame, tolerance: str, bucket_us: int | None) -> DataFrame:
-    """One row per (tx id, n): the n-th pay and the n-th receipt, ``near`` if both exist within the tolerance."""
+def _pairs(numbered: DataFrame) -> DataFrame:
     side = lambda c, pay: F.max(F.when(F.col("is_pay") == pay, F.col(c)))
-    pairs = _numbered(_sides(pays, receipts), bucket_us).groupBy("tx_id", "nth").agg(
+    return numbered.groupBy("tx_id", "_own", "nth").agg(
         side("ts", True).alias("pay_ts"), side("order_id", True).alias("order_id"),
         side("ts", False).alias("receipt_ts"), side("pay_channel", False).alias("pay_channel"),
-        F.max("is_pay").alias("has_pay"), (~F.min("is_pay")).alias("has_receipt"))
+        F.max("is_pay").alias("has_pay"), (~F.min("is_pay")).alias("has_receipt")).drop("_own", "nth")
+
+
+def _paired(pays: DataFrame, receipts: DataFrame, tolerance: str, bucket_us: int | None, hot_rows: int) -> DataFrame:
+    """One row per (tx id, n): the n-th pay and the n-th receipt, ``near`` if both exist within the tolerance."""
+    rows = _sides(pays, receipts)
+    hot = hot_tx_ids(rows, hot_rows) if bucket_us is None else []
+    if hot:
+        is_hot = F.coalesce(F.col("tx_id").isin(hot), F.lit(False))
+        pairs = _pairs(_numbered(rows.where(~is_hot), None)).unionByName(_pairs(_numbered(rows.where(is_hot), MINUTE_US)))
+    else:
+        pairs = _pairs(_numbered(rows, bucket_us))
     gap = F.abs(epoch_micros(F.col("receipt_ts")) - epoch_micros(F.col("pay_ts")))
-    # An empty or missing tx id matches nothing.
-    return pairs.withColumn("near", F.coalesce((gap <= duration_us(tolerance)) & F.col("tx_id").isNotNull(),
-                                               F.lit(False)))
+    return pairs.withColumn("near", F.coalesce((gap <= duration_us(tolerance)) & _named(), F.lit(False)))
 
 
 def unmatched_pays(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-                   bucket_us: int | None = None) -> DataFrame:
+                   bucket_us: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tx_id, order_id, pay_ts) of the pays without their receipt."""
-    return _paired(pays, receipts, tolerance, bucket_us).where("has_pay AND NOT near").select(
+    return _paired(pays, receipts, tolerance, bucket_us, hot_rows).where("has_pay AND NOT near").select(
         "tx_id", "order_id", "pay_ts")
 
 
 def unmatched_receipts(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-                       bucket_us: int | None = None) -> DataFrame:
+                       bucket_us: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tx_id, receipt_ts, pay_channel) of the receipts without their pay."""
-    return _paired(pays, receipts, tolerance, bucket_us).where("has_receipt AND NOT near").select(
+    return _paired(pays, receipts, tolerance, bucket_us, hot_rows).where("has_receipt AND NOT near").select(
         "tx_id", "receipt_ts", "pay_channel")
 
 
 def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-              bucket_us: int | None = None) -> DataFrame:
+              bucket_us: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(tx_id, order_id, pay_ts, receipt_ts, pay_channel, status) - every pay and receipt exactly once.
 
-    Tx ids are near unique, so both sides meet in one exchange; ``bucket_us`` numbers the rows of hot ids by the
-    bucketed scan instead.
+    ``bucket_us`` numbers the rows of all ids by the bucketed scan; by default only ids of ``hot_rows`` rows or more
+    are (a small job looks for them when the plan is built).
     """
-    pairs = _paired(pays, receipts, tolerance, bucket_us)
+    pairs = _paired(pays, receipts, tolerance, bucket_us, hot_rows)
     none = lambda c: F.lit(None).cast(dict(pairs.dtypes)[c])
     row = lambda status, pay, receipt: F.struct(
         *[(F.col(c) if pay else none(c)).alias(c) for c in ("order_id", "pay_ts")],

@@ -1,9 +1,12 @@
-"""Readers for the raw shop logs.
+"""Readers for the raw shop logs (S1-S7) and their dead letters.
 
 All readers are declarative scans: an explicit schema (no inference pass),
 ``PERMISSIVE`` parsing (a malformed line is kept in ``_corrupt_record``), and
 time conversion as JVM expressions, so column pruning and filter pushdown reach
-the file scan.
+the file scan.  The ``checked_*`` forms of the text readers keep a malformed line the
+same way, with the ``reason``; ``good_rows`` and ``dead_letters`` take a checked read
+apart, in a batch or a stream (``streaming.sinks.dead_letter_writer`` writes both
+parts in one pass).
 
 Every reader adds ``event_id``, the last sort key and row key of the operators.
 A batch scan numbers its rows in file order (unique; stable for the same files
@@ -110,3 +113,71 @@ def read_order_lines(spark: SparkSession, path: str, stream: bool = True) -> Dat
     """Order events arriving as text lines in a directory."""
     reader = spark.readStream if stream else spark.read
     return _with_event_id(reader.text(path), stream).select(*parse_order_line(F.col("value")), "event_id")
+
+
+REASON = "reason"
+
+
+def _first_fault(*faults: tuple[Column, str]) -> Column:
+    return F.coalesce(*[F.when(fault, F.lit(text)) for fault, text in faults])
+
+
+def _with_fault(rows: DataFrame, value: str, reason: Column) -> DataFrame:
+    return rows.withColumn(REASON, reason).withColumn(CORRUPT, F.when(F.col(REASON).isNotNull(), F.col(value)))
+
+
+def _empty(value: str) -> Column:
+    return F.col(value).isNull() | (F.trim(F.col(value)) == "")
+
+
+def checked_access_log(lines: DataFrame, value: str = "value", extra: tuple[str, ...] = ()) -> DataFrame:
+    """``parse_access_log`` with ``_corrupt_record`` (the raw line) and ``reason`` of malformed lines, NULL for good ones."""
+    rows = parse_access_log(lines, value, extra=(*extra, value))
+    fields = F.size(F.split(F.col(value), " "))
+    return _with_fault(rows, value, _first_fault(
+        (_empty(value), "empty line"), (fields < 7, "fewer than 7 fields"),
+        (F.col("event_time").isNull(), "no time of the form dd/MM/yyyy:HH:mm:ss"))).drop(value)
+
+
+def checked_order_lines(lines: DataFrame, value: str = "value", extra: tuple[str, ...] = ()) -> DataFrame:
+    """``parse_order_line`` of every line, with ``_corrupt_record`` and ``reason`` as in ``checked_access_log``."""
+    rows = lines.select(*parse_order_line(F.col(value)), *extra, value)
+    fields = F.size(F.split(F.col(value), ","))
+    return _with_fault(rows, value, _first_fault(
+        (_empty(value), "empty line"), (fields < 4, "fewer than 4 fields"),
+        (F.col("order_id").isNull(), "the order id is no number"), (F.col("ts_sec").isNull(), "the time is no number"))).drop(value)
+
+
+def read_checked_access_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """S6 with dead letters."""
+    reader = spark.readStream if stream else spark.read
+    return checked_access_log(_with_event_id(reader.text(path), stream), extra=("event_id",))
+
+
+def read_checked_order_lines(spark: SparkSession, path: str, stream: bool = True) -> DataFrame:
+    """S7 with dead letters."""
+    reader = spark.readStream if stream else spark.read
+    return checked_order_lines(_with_event_id(reader.text(path), stream), extra=("event_id",))
+
+
+def _faulty(rows: DataFrame) -> Column:
+    return F.col(REASON if REASON in rows.columns else CORRUPT).isNotNull()
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    """The well-formed rows of a checked read (or of a CSV read), without the fault columns.
+
+    Spark's CSV reader looks at the columns a query uses: a fault in another column does not remove a row.
+    """
+    return checked.where(~_faulty(checked)).drop(REASON, CORRUPT)
+
+
+def dead_letters(checked: DataFrame) -> DataFrame:
+    """(line, reason, parsed, event_id) of the malformed lines of a checked read (or of a CSV read), each once.
+
+    ``parsed``: the fields that could be read, as JSON.
+    """
+    reason = F.col(REASON) if REASON in checked.columns else F.lit("does not fit the schema")
+    fields = [c for c in checked.columns if c not in (REASON, CORRUPT, "event_id")]
+    return checked.where(_faulty(checked)).select(F.col(CORRUPT).alias("line"), reason.alias(REASON),
+                                                  F.to_json(F.struct(*fields)).alias("parsed"), "event_id")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
+from ..sources.files import dead_letters, good_rows
 
 
 def _checkpoint(df: DataFrame, name: str) -> str:
@@ -67,6 +68,23 @@ def split_by(kind_col: str, paths: dict[str, str], drop_kind: bool = True,
     return write
 
 
+def dead_letter_writer(good_path: str, dead_path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of a checked read (``sources.files``): good rows and malformed lines, each to its table.
+
+    The micro-batch is parsed once; both parts are overwritten by ``batch_id`` on replay.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for part, path in ((good_rows(batch), good_path), (dead_letters(batch), dead_path)):
+                part.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def batch_log(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer appending each micro-batch under ``batch_id=<n>`` (overwritten on replay)."""
 
