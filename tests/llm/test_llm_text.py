@@ -205,3 +205,27 @@ def test_language_model_of_nothing(spark):
     assert deleted_interp.score(docs(spark, []), F.lit(False)).count() == 0
     only = deleted_interp.score(docs(spark, ["a b", None]), F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, round(r.score, 9)) for r in only} == {(0, 0, round(r.score, 9)) for r in only}
+
+
+def test_added_spans_belong_to_their_text(spark):
+    """Rows of one id or without an id get the spans of their own text, in the query's form and masked."""
+    learn = [(1000 + k, f"call now +1 (9{k:02d}) 555-{2000 + k} today") for k in range(40)]
+    clean, hit = "a nice text without any such numbers in it at all", "call now (919) 555-7777 today"
+    rows = learn + [(40, clean), (40, hit), (40, clean + "!"), (None, hit), (None, clean), (None, hit)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = pii_bootstrap.masked(d).collect()
+    found = Counter((r.doc_id, r.text) for r in out if r.doc_id in (40, None))
+    assert len(out) == len(rows)
+    masked = {t for _, t in found if "[PHONE]" in t}
+    assert len(masked) == 1 and found[40, masked.copy().pop()] == 1 and found[None, masked.pop()] == 2
+    assert found[40, clean] == found[40, clean + "!"] == found[None, clean] == 1
+    spans = Counter((r.doc_id, len(r.spans)) for r in pii_bootstrap.find(d).collect() if r.doc_id in (40, None))
+    assert spans == {(40, 0): 2, (40, 1): 1, (None, 1): 2, (None, 0): 1}
+
+
+def test_spans_of_a_text_full_of_identifiers(spark):
+    n = 20_000
+    text = " ".join(f"user{i}@mail{i}.com" for i in range(n))
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = d.select(pii_bootstrap.base_spans(F.col("text")).alias("s")).first().s
+    assert [f"email:{s.start}:{s.end}" for s in spans] == plain_spans(text) and len(spans) == n

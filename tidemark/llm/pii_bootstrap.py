@@ -14,10 +14,11 @@ spans.
 
 The scan writes one narrow table (spans and candidates per document); the graph
 is aggregated per (pattern, instance) before any join, so a common pattern is a
-sum, not a group.
+sum, not a group.  Added spans belong to a text, not to an id: they return to the
+rows by the text's key.
 
-Cases: a null text is an empty one and has no spans; repeated rows each get their
-spans; a run of numbers longer than any identifier is split into its numbers;
+Cases: a null text is an empty one and has no spans; every row gets the spans of its
+own text, also where ids repeat or are null; a run of numbers longer than any identifier is split into its numbers;
 other candidates longer than ``LONGEST`` code points are no identifiers;
 without seeds nothing is added; extra columns pass through ``masked``.
 """
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import keep
+from .tables import keep, text_key
 
 # The kinds in their order, and the base patterns.  A run of local-part characters or digits can only
 # match from its start (or from the end of the match before), which keeps long runs linear.
@@ -61,6 +62,23 @@ def _spans(text: Column, pattern: str) -> Column:
     """(start, end, hit) of the leftmost non-overlapping matches, in code points."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
+    # zip_with computes either side once; a look-up inside a lambda would cut the text anew for every match.
+    pairs = F.filter(F.zip_with(hits, gaps, lambda h, g: F.struct(g.alias("gap"), h.alias("hit"))), lambda x: x["hit"].isNotNull())
+    return _let(pairs, _placed)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _placed(pairs: Column) -> Column:
+    """Spans from (gap, hit) pairs.
+
+    An array that grows match by match is copied with every match, so the matches are placed in blocks of about the
+    square root of their number, and the blocks one behind the other.
+    """
+    block = F.ceil(F.sqrt(F.size(pairs))).cast("int")
     state = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -69,8 +87,17 @@ def _spans(text: Column, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
             start.alias("start"), end.alias("end"), x["hit"].alias("hit")))).alias("out"))
 
-    pairs = F.filter(F.transform(hits, lambda h, i: F.struct(F.get(gaps, i).alias("gap"), h.alias("hit"))), lambda x: x["hit"].isNotNull())
-    return F.aggregate(pairs, state, step, lambda acc: acc["out"])
+    def of_block(first: Column) -> Column:
+        return F.aggregate(F.slice(pairs, first, block), state, step)
+
+    def shifted(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + b["at"])))
+        return _let(begins, lambda at: F.flatten(F.transform(blocks, lambda b, i: F.transform(b["out"], lambda s: F.struct(
+            (s["start"] + F.get(at, i)).alias("start"), (s["end"] + F.get(at, i)).alias("end"), s["hit"].alias("hit"))))))
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(pairs), F.greatest(block, F.lit(1))), of_block)
+    return F.when(F.size(pairs) > 0, _let(blocks, shifted)).otherwise(F.array().cast(_SPANS))
 
 
 def _digits(c: Column) -> Column:
@@ -134,9 +161,10 @@ def _numbers(s: Column) -> Column:
 
 
 def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, base spans and candidates (with the word before) of every document."""
+    """Id, text key, base spans and candidates (with the word before) of every document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).select("id", "t", base_spans(F.col("t")).alias("base"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("t"), *text_key(F.col(text_col))).select(
+        "id", "h1", "h2", "t", base_spans(F.col("t")).alias("base"))
     before = lambda s: F.regexp_extract(F.substring(F.col("t"), F.greatest(s["start"] - 63, F.lit(1)),
                                                     F.least(s["start"], F.lit(64))),
                                         rf"([^{SPACE}]++)[{SPACE}]*+$", 1)
@@ -149,7 +177,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             "seed"),
         F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])).alias("taken")))
     none = F.array().cast("array<struct<start:int,end:int,hit:string,before:string,seed:int,taken:boolean>>")
-    return rows.select("id", "base", F.when(F.regexp_like("t", F.lit("[0-9@]")), free).otherwise(none).alias("cand"))
+    return rows.select("id", "h1", "h2", "base", F.when(F.regexp_like("t", F.lit("[0-9@]")), free).otherwise(none).alias("cand"))
 
 
 def _shape(hit: Column) -> Column:
@@ -219,10 +247,11 @@ def _confident(edges: DataFrame, known: DataFrame, confident: float, support: in
 
 
 def _added(scan: DataFrame) -> DataFrame:
-    """(id, added): the occurrences of accepted instances outside the base spans, per id."""
+    """(h1, h2, added): the occurrences of accepted instances outside the base spans, per text."""
     new = bootstrap(scan)
-    return (scan.select("id", F.explode("cand").alias("c")).where("NOT c.taken").select("id", "c.*").drop("seed")
-            .join(new.select("hit", "kind"), "hit").groupBy("id")
+    return (scan.select("h1", "h2", F.explode("cand").alias("c")).where("NOT c.taken")
+            .select("h1", "h2", "c.start", "c.end", "c.hit").distinct()  # copies of a text become one
+            .join(new.select("hit", "kind"), "hit").groupBy("h1", "h2")
             .agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
 
 
@@ -238,7 +267,7 @@ def _all_spans(base: Column) -> Column:
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``base`` and ``spans``, arrays of (kind number, start, end) by kind and start."""
     scan = keep(_scan(docs, id_col, text_col), "pii_scan")
-    return scan.select("id", _places(F.col("base")).alias("base")).join(_added(scan), "id", "left").select(
+    return scan.select("id", "h1", "h2", _places(F.col("base")).alias("base")).join(_added(scan), ["h1", "h2"], "left").select(
         F.col("id").alias(id_col), "base", _all_spans(F.col("base")).alias("spans"))
 
 
@@ -251,10 +280,12 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     if added.isEmpty():
         spans = F.array_sort(_places(base_spans(F.col(text_col))))
         return docs.withColumn(text_col, F.when(F.col(text_col).isNotNull(), mask(F.col(text_col), spans)))
-    rows = docs.join(added.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left")
-    spans = _all_spans(_places(base_spans(F.col(text_col))))
-    return rows.withColumn(text_col, F.when(F.col(text_col).isNotNull(), mask(F.col(text_col), spans))).select(
-        *docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), *text_key(F.col(text_col)))
+    rows = whole.join(added, ["h1", "h2"], "left")
+    text = F.col(f"doc.{text_col}")
+    spans = _all_spans(_places(base_spans(text)))
+    done = F.when(text.isNotNull(), mask(text, spans))
+    return rows.select(*[done.alias(c) if c == text_col else F.col(f"doc.{c}") for c in docs.columns])
 
 
 def render(spans: Column) -> Column:

@@ -47,3 +47,9 @@ def crc32_mod(col: str, mod: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_key(text: Column) -> list[Column]:
+    """``h1`` and ``h2``: a 128-bit key of a text (null: of an empty one).  Rows of one key hold one text, whatever their ids."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
