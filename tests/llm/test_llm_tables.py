@@ -1,6 +1,7 @@
 """Nearest neighbours, Jaccard join, mix and pipeline: against brute force and the SQL."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -176,6 +177,27 @@ def test_join_edge_rows(spark):
     assert [r.doc_id for r in chosen_path.one_of_each(twice, classes).collect()] == [0]
 
 
+def test_rows_without_id_and_ids_on_two_texts(spark):
+    """Every row stands for its own text: against brute force over row numbers."""
+    rng = random.Random(4)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4)]
+    near = lambda t, k: " ".join(["new%d" % k, *t.split()[1:]])
+    rows = [(None, base[0]), (None, near(base[0], 1)), (1, base[1]), (1, base[2]), (3, near(base[2], 2)), (4, near(base[1], 3)),
+            (5, base[3]), (5, base[3]), (None, base[3]), (None, ""), (None, None), (6, "alone here")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_join([(k, t) for k, (_, t) in enumerate(rows)])
+    out = chosen_path.jaccard_join(d)
+    got = sorted((str(r.doc_id), r.n_links) for r in out.collect())
+    assert got == sorted((str(rows[k][0]), n) for k, (n, _) in want.items())
+    groups = Counter(c for _, c in want.values())
+    bare = sum(not (t or "").strip() for _, t in rows)
+    assert out.select("class_key").where("class_key IS NOT NULL").distinct().count() == len(groups) - bare
+    kept = Counter((r.doc_id, r.text) for r in chosen_path.one_of_each(d, out).collect())
+    assert sum(kept.values()) == len(groups) and kept[5, base[3]] == 1 and kept[None, ""] == 1 and kept[None, None] == 1
+    assert sum(kept[x] for x in [(None, base[0]), (None, near(base[0], 1))]) == 1
+    assert kept[1, base[1]] == 1 and kept[1, base[2]] == 1
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {(r.u, r.m) for r in chosen_path.components(edges).collect()}
@@ -289,5 +311,5 @@ def test_pipeline_of_odd_and_empty_rows(spark, tmp_path):
 
 def test_every_query_is_registered_once_per_operator():
     names = [q.split("_")[0] for q in catalog.QUERIES]
-    assert sorted(names, key=lambda x: int(x[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(names, key=lambda x: int(x[2:])) == [f"op{n}" for n in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "ngram_jaccard_join", "pii", "mixing", "bpe"]

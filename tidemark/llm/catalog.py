@@ -67,7 +67,8 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.jaccard_join(read(spark, sf_dir, "documents"), similarity=0.8, n=5)
+    out = chosen_path.jaccard_join(read(spark, sf_dir, "documents"), similarity=0.8, n=5)
+    return out.select("doc_id", "class_id", "copy_id", "n_links")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

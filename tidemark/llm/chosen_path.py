@@ -24,9 +24,14 @@ linked to it directly or in steps), its copy (smallest id with an equal set) and
 its number of links (other documents of similarity >= the threshold, copies
 included).
 
+Inside the join a set is known by a number of its own, never by an id.  Its text is
+fetched by the id and the key of one text that has the set.
+
 Cases: a text of fewer than ``n`` words is one shingle; texts without words
-(null, empty) link to nothing and form their own class; rows that share an id
-are one document repeated, copies of each other; extra columns are not read.
+(null, empty) link to nothing and form their own class; every row stands for its
+own text, so rows without an id link as others do and an id on two texts is two
+documents; repeated rows are copies of each other; ids of a class without any id
+are null (``class_key`` still tells classes apart); extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,11 +43,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
-from .tables import keep
+from .tables import keep, text_key
 
 TOKENS = 64
 BUCKET = 4096
@@ -125,7 +130,7 @@ def _multipliers() -> np.ndarray:
 
 
 def embed(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """Id, 128-bit set id (null: no words) and min-hash tokens per document."""
+    """Id, text key, 128-bit set id (null: no words) and min-hash tokens per document."""
     a = _multipliers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +144,12 @@ def embed(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
                     tokens = [((s[:, None] * a).min(0) >> np.uint64(32)).astype(np.uint32).tobytes() if len(s) else
                               None for s in sets]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, len(texts)), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                         pa.array(tokens, pa.binary())], names=["id", "s1", "s2", "tokens"])
+                        [batch.column(k).slice(start, len(texts)) for k in (0, 2, 3)]
+                        + [pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(tokens, pa.binary())],
+                        names=["id", "h1", "h2", "s1", "s2", "tokens"])
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
-        run, f"id {dict(docs.dtypes)[id_col]}, s1 long, s2 long, tokens binary")
+    return docs.select(id_col, F.col(text_col).cast("string"), *text_key(F.col(text_col))).mapInArrow(
+        run, f"id {dict(docs.dtypes)[id_col]}, h1 long, h2 long, s1 long, s2 long, tokens binary")
 
 
 def _matrix(column: pa.Array, width: int = TOKENS) -> np.ndarray:
@@ -157,7 +163,7 @@ def _sampled(node: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarra
     return np.nonzero(draw < np.uint64(int(2.0 ** 64 / (similarity * TOKENS))))
 
 
-def _split(rows: DataFrame, similarity: float, runs: range, id_type: str) -> DataFrame:
+def _split(rows: DataFrame, similarity: float, runs: range) -> DataFrame:
     """(node, rep) of the children: of every run's root if ``rows`` has no ``node``, else of each row's node."""
     roots = _mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(1_000_003 + SEED))
     at_root = "node" not in rows.columns
@@ -182,23 +188,23 @@ def _split(rows: DataFrame, similarity: float, runs: range, id_type: str) -> Dat
                                              names=["node", "rep"])
 
     cols = ["rep", "tokens"] + ([] if at_root else ["node"])
-    return rows.select(*cols).mapInArrow(run, f"node long, rep {id_type}")
+    return rows.select(*cols).mapInArrow(run, f"node long, rep long")
 
 
-def _nodes(reps: DataFrame, similarity: float, recall: float, id_type: str) -> DataFrame:
+def _nodes(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
     """(node, rep, side) of all nodes to compare: at most BUCKET rows each; side 1 and 2 meet, side 0 meets all."""
     first, more = plan_runs(recall, LEVELS + 1, similarity)
-    done, deep = _descend(reps, similarity, range(first), id_type)
+    done, deep = _descend(reps, similarity, range(first))
     if deep is None:
         return done
     deep = keep(deep.distinct(), "deep")
     again = range(first, first + more)
-    return done.unionByName(_descend(reps.join(deep, "rep"), similarity, again, id_type)[0])
+    return done.unionByName(_descend(reps.join(deep, "rep"), similarity, again)[0])
 
 
-def _descend(reps: DataFrame, similarity: float, runs: range, id_type: str) -> tuple[DataFrame, DataFrame | None]:
+def _descend(reps: DataFrame, similarity: float, runs: range) -> tuple[DataFrame, DataFrame | None]:
     """The nodes to compare of these runs, and (rep) of the sets in nodes that are too large after ``SPLITS`` splits."""
-    frontier = _split(reps, similarity, runs, id_type)
+    frontier = _split(reps, similarity, runs)
     done = deep = None
     for level in range(LEVELS + 1):
         sizes = frontier.groupBy("node").count().where("count > 1")
@@ -212,7 +218,7 @@ def _descend(reps: DataFrame, similarity: float, runs: range, id_type: str) -> t
             if level == SPLITS - 1:
                 deep = large.select("rep")
             frontier = _split(large.select("node", "rep").join(reps.select("rep", "tokens"), "rep"), similarity,
-                              range(0), id_type)
+                              range(0))
     # Blocks of a node that no token splits: every pair of blocks is a node of its own.
     blocks = large.withColumn("_of", F.expr(f"cast(ceil(2 * count / {BUCKET}) as int)")).withColumn(
         "_b", F.expr("cast(pmod(xxhash64(rep, 1), _of) as int)"))
@@ -245,7 +251,7 @@ def _first_here(node: int, nodes: list[np.ndarray], sides: list[np.ndarray], sid
     return todo
 
 
-def _likely(rows: DataFrame, similarity: float, id_type: str) -> DataFrame:
+def _likely(rows: DataFrame, similarity: float) -> DataFrame:
     """(node, rep) of the rows that have a likely partner whose first common node this is."""
     need = (similarity - LIKELY) * TOKENS
 
@@ -281,10 +287,10 @@ def _likely(rows: DataFrame, similarity: float, id_type: str) -> DataFrame:
                                                  names=["node", "rep"])
 
     grouped = rows.groupBy("node").agg(F.collect_list(F.struct("rep", "side", "tokens", "nodes")).alias("m"))
-    return grouped.mapInArrow(run, f"node long, rep {id_type}")
+    return grouped.mapInArrow(run, f"node long, rep long")
 
 
-def _spread_sets(rows: DataFrame, n: int, id_type: str) -> DataFrame:
+def _spread_sets(rows: DataFrame, n: int) -> DataFrame:
     """Rows (rep, text, copies, nodes, at) -> one row with the shingle set for each node of ``at``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,10 +306,10 @@ def _spread_sets(rows: DataFrame, n: int, id_type: str) -> DataFrame:
                          part.column(3).take(row), sets.take(row)], names=["node", "rep", "copies", "nodes", "grams"])
 
     return rows.select("rep", "text", "copies", "nodes", "at").mapInArrow(
-        run, f"node long, rep {id_type}, copies long, nodes array<struct<node:long,side:int>>, grams binary")
+        run, f"node long, rep long, copies long, nodes array<struct<node:long,side:int>>, grams binary")
 
 
-def _verify(rows: DataFrame, similarity: float, id_type: str) -> DataFrame:
+def _verify(rows: DataFrame, similarity: float) -> DataFrame:
     """(rep, links, root): links found in each node, and the smallest rep that they tie this one to there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +339,7 @@ def _verify(rows: DataFrame, similarity: float, id_type: str) -> DataFrame:
                                              names=["rep", "links", "root"])
 
     grouped = rows.groupBy("node").agg(F.collect_list(F.struct("rep", "copies", "nodes", "grams")).alias("m"))
-    return grouped.mapInArrow(run, f"rep {id_type}, links long, root {id_type}")
+    return grouped.mapInArrow(run, f"rep long, links long, root long")
 
 
 def _linked(sets: list[np.ndarray], todo: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
@@ -382,43 +388,61 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
+def _same_row(id_col: str, of_id: str) -> Column:
+    """Rows of one id and one text; null ids are equal, and the id spreads a text that many rows share."""
+    return F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col("h1") == F.col("of_h1")) & (F.col("h2") == F.col("of_h2"))
+
+
 def jaccard_join(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = RECALL,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``class_id``, ``copy_id`` and ``n_links`` for every row of ``docs``."""
-    id_type = dict(docs.dtypes)[id_col]
+    """``id_col``, ``class_id``, ``copy_id`` and ``n_links`` for every row of ``docs``.
+
+    For :func:`one_of_each` also the text key ``h1``, ``h2``, ``class_key`` (a number per class; null: a text without
+    words) and ``leads`` (the row's id and text are those that stand for the class).
+    """
     rows = keep(embed(docs, n, id_col, text_col), "tokens")
-    reps = keep(rows.where("s1 IS NOT NULL").groupBy("s1", "s2").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens")), "reps")
-    nodes = keep(_nodes(reps, similarity, recall, id_type), "compare")
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h1", "h2"))
+    sets = rows.where("s1 IS NOT NULL").groupBy("s1", "s2").agg(
+        least.alias("least"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens"))
+    reps = keep(sets.withColumn("rep", F.monotonically_increasing_id()), "reps")  # written: the numbers stay
+    nodes = keep(_nodes(reps, similarity, recall), "compare")
     lists = nodes.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("node", "side"))).alias("nodes"))
     known = keep(lists.join(reps.select("rep", "copies", "tokens"), "rep"), "listed")
     placed = known.select("rep", "tokens", "nodes", F.explode("nodes").alias("x")).select(
         "x.node", "x.side", "rep", "tokens", "nodes")
-    likely = keep(_likely(placed, similarity, id_type).groupBy("rep").agg(F.collect_list("node").alias("at")), "likely")
-    texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    wanted = likely.join(known.select("rep", "copies", "nodes"), "rep")
-    full = _spread_sets(texts.join(wanted, "rep").dropDuplicates(["rep"]), n, id_type)
-    found = keep(_verify(full, similarity, id_type), "links")
+    likely = keep(_likely(placed, similarity).groupBy("rep").agg(F.collect_list("node").alias("at")), "likely")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"), *text_key(F.col(text_col)))
+    wanted = (likely.join(known.select("rep", "copies", "nodes"), "rep").join(reps.select("rep", "least"), "rep")
+              .select("rep", "copies", "nodes", "at", *[F.col(f"least.{c}").alias(f"of_{c}") for c in ("id", "h1", "h2")]))
+    full = _spread_sets(texts.join(wanted, _same_row("_id", "of_id")).dropDuplicates(["rep"]), n)
+    found = keep(_verify(full, similarity), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v"))).select(
-        F.col("u").alias("rep"), "m")
-    classes = (reps.select("s1", "s2", "rep", "copies").join(links, "rep", "left").join(roots, "rep", "left")
-               .where("copies > 1 OR links IS NOT NULL"))
-    return rows.select("id", "s1", "s2").join(classes, ["s1", "s2"], "left").select(
-        F.col("id").alias(id_col), F.coalesce("m", "rep", "id").alias("class_id"),
-        F.coalesce("rep", "id").alias("copy_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).alias("n_links"))
-
-
-def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The document of smallest id of each class (``jaccard_join``'s result), once if its row is repeated.
-
-    Rows without an id stay unless all of them are copies of a row that has one.
+    roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v"))).select(F.col("u").alias("rep"), "m")
+    of_class = reps.select("rep", "least").join(roots, "rep", "left").select(
+        "rep", "least", F.coalesce("m", "rep").alias("class_key"))
+    first = of_class.groupBy("class_key").agg(F.min("least").alias("first"))
+    classes = (reps.select("s1", "s2", "rep", "copies").join(of_class, "rep").join(links, "rep", "left")
+               .join(first, "class_key").select("s1", "s2", "class_key", F.col("first.id").alias("class_id"), F.col("least.id").alias("copy_id"),
+                       F.col("first.h1").alias("_h1"), F.col("first.h2").alias("_h2"),
+                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    named = rows.select("id", "h1", "h2", "s1", "s2").join(classes, ["s1", "s2"], "left")
+    bare = F.col("class_key").isNull()
+    leads = bare | (F.col("id").eqNullSafe(F.col("class_id")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
+    return named.select(
+        F.col("id").alias(id_col), F.when(bare, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(bare, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "h1", "h2", "class_key", leads.alias("leads"))
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The document that stands for each class (``jaccard_join``'s result): the one of smallest id, once.
+
+    Rows without an id come last; texts without words are classes of their own and all stay.
     """
-    stay = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy(F.col(id_col).alias("_id")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    kept = docs.join(stay.select("_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    if stay.where("_n > 1 AND _id IS NOT NULL").isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
-        kept.where(F.col(id_col).isNull()))
+    lead = classes.where("leads").groupBy(F.col(id_col).alias("of_id"), F.col("h1").alias("of_h1"), F.col("h2").alias("of_h2")).agg(
+        F.count("class_key").alias("_n"))  # 0: a text without words
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("_id"), *text_key(F.col(text_col)))
+    kept = whole.join(lead, _same_row("_id", "of_id"))
+    if not lead.where("_n > 1").isEmpty():  # repeated rows
+        kept = kept.where("_n <= 1").unionByName(kept.where("_n > 1").dropDuplicates(["h1", "h2", "_id"]))
+    return kept.select("doc.*")
