@@ -229,3 +229,28 @@ def test_spans_of_a_text_full_of_identifiers(spark):
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
     spans = d.select(pii_bootstrap.base_spans(F.col("text")).alias("s")).first().s
     assert [f"email:{s.start}:{s.end}" for s in spans] == plain_spans(text) and len(spans) == n
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab1'é日🙂 \t\n  　\x1c\x85.<|"), max_size=25) | st.just("x<|endoftext|> \n<|endoftext|>y"),
+                max_size=4))
+def test_words_are_a_safe_cut(texts):
+    import pyarrow as pa
+
+    path = catalog.vocabulary("byte_bpe_50k.json")
+    tok = bpe._tokenizer(path)
+    found, sizes = bpe.words(pa.array(texts, pa.large_string()), ["<|endoftext|>"])
+    flat, at = found.to_pylist(), 0
+    for text, n in zip(texts, sizes, strict=True):
+        parts = flat[at:at + n]
+        at += n
+        assert "".join(parts) == text
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert [i for p in parts for i in tok.encode(p, add_special_tokens=False).ids] == want
+
+
+def test_bpe_of_texts_without_words(spark):
+    path = catalog.vocabulary("byte_bpe_50k.json")
+    got = bpe.decode(bpe.encode(docs(spark, [None, "", None]), path), path).collect()
+    assert sorted((r.doc_id, r.ids, r.decoded) for r in got) == [(0, [], ""), (1, [], ""), (2, [], "")]
+    assert bpe.encode(docs(spark, []), path).collect() == []

@@ -1,57 +1,46 @@
-"""Byte-pair encoding through distinct-word tables, and decoding through an id-to-piece table.
-
-Spark cuts every text into words (an optional space and what follows up to the
-next white space, or a run of white space), the coarsest cut at which a byte-level
-tokenizer always starts afresh.  Each slice of documents then gets its
-distinct-word table: every distinct word is encoded once (words met lately are
-remembered), and the ids go back to the positions by the word's code.  Decoding
-joins every id with its piece of bytes (the vocabulary is the bound of that table)
-and concatenates the pieces.
-
-The tables are per slice, not one for the corpus: a join of the corpus-wide
-table would move every document and every rare word through two more shuffles.
+"""Byte-pair encoding through one table of distinct words, and decoding through an id-to-piece table.
+
+1. Every text is cut into words (an optional space and what follows up to the next
+   white space, or a run of white space), the coarsest cut at which a byte-level
+   tokenizer always starts afresh.  The documents of a slice (a few MB of text)
+   share a list of distinct words, commonest first; each position becomes its
+   word's number there.  Slices are written to the shared folder, one row each.
+2. The slices' distinct words are dealt by their hash, so each word of the corpus
+   meets in one task from all slices and is encoded there once.
+3. The ids return to the slices: a join on the slice and, in it, on the word's
+   number gives the ids of every position in order.
+4. Decoding joins every id with its piece of bytes (the vocabulary bounds that table,
+   so it lies in every task) and concatenates the pieces.
+
+No text is shuffled, only word numbers (compressed) and distinct words.  A word that
+a third of all positions hold is one entry per slice.
 
 Cases: a null or empty text has no ids and decodes to an empty text; special
 strings inside a text are their special id, as in the library; repeated rows are
-encoded each; a long run without white space is one word; extra columns of the
-input are not read.
+encoded each; a long run without white space is one word, a very long text a slice of
+its own; an empty table gives no rows; extra columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
+from .tables import keep, partitions
 
-SLICE_WORDS = 400_000
+SLICE_BYTES = 8 << 20  # bytes of text in a slice, about
+SLICE_IDS = 400_000  # ids decoded at once
 CALL_WORDS = 20_000  # words in one encoder call
-MEMO_WORDS = 200_000  # encodings a worker remembers
-MEMO_CHARS = 48
-
-# Fixed value: the white space of the tokenizer's word rule (Unicode White_Space).
-WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-WORD = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-
-
-def words(text: Column, specials: list[str]) -> Column:
-    """Array of the words of a text in order; special strings stand alone."""
-    if not specials:
-        return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    if len(specials) > 1:
-        raise ValueError("at most one special string")
-    mark = specials[0]
-    quoted = "".join(c if c.isalnum() else "\\" + c for c in mark)
-    return F.flatten(F.transform(
-        F.split(text, quoted, -1),
-        lambda part, i: F.concat(F.when(i > 0, F.array(F.lit(mark))).otherwise(F.array().cast("array<string>")),
-                                 F.regexp_extract_all(part, F.lit(WORD), F.lit(0)))))
+TASK_WORDS = 400_000  # distinct words (per slice) in an encoding task, about
 
 
 def _tokenizer(path: str):
@@ -68,37 +57,206 @@ def _specials(path: str) -> list[str]:
     return [t.content for _, t in sorted(_tokenizer(path).get_added_tokens_decoder().items())]
 
 
-class WordTable:
-    """Distinct words to their ids."""
+# Fixed value: the white space of the tokenizer's word rule (Unicode White_Space), in UTF-8.
+WHITE = [c.encode() for c in "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+                             "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+_ASCII_WHITE = np.zeros(256, bool)
+_ASCII_WHITE[[w[0] for w in WHITE if len(w) == 1]] = True
+
+
+def _white(raw: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Whether the character that starts at each place of ``lead`` is white space."""
+    out = _ASCII_WHITE[raw[lead]]
+    if len(lead) < len(raw):
+        many = np.flatnonzero(np.isin(raw[lead], [w[0] for w in WHITE if len(w) > 1]))
+        code = np.zeros(len(many), np.int64)
+        padded = np.concatenate((raw, np.zeros(2, np.uint8))).astype(np.int64)
+        at = lead[many]
+        two = raw[at] < 0xE0
+        code = (padded[at] << 16) + (padded[at + 1] << 8) + np.where(two, 0, padded[at + 2])
+        out[many] = np.isin(code, [int.from_bytes(w.ljust(3, b"\0"), "big") for w in WHITE if len(w) > 1])
+    return out
+
+
+def words(texts: pa.Array, specials: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of a run of texts, in order, and their number in each text; special strings stand alone."""
+    raw, offsets = ts._flat(texts)
+    if not len(raw):
+        return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+    begins = np.zeros(len(raw) + 1, bool)  # where a text or a part of it begins
+    begins[offsets] = True
+    for mark in specials:
+        if pc.any(pc.match_substring(texts, mark)).as_py():
+            whole, at = raw.tobytes(), -1
+            while (at := whole.find(mark.encode(), at + 1)) >= 0:
+                if np.searchsorted(offsets, at, "right") == np.searchsorted(offsets, at + len(mark.encode()) - 1, "right"):
+                    begins[[at, at + len(mark.encode())]] = True
+                    at += len(mark.encode()) - 1
+    lead = np.flatnonzero((raw & 0xC0) != 0x80)
+    white, edge = _white(raw, lead), begins[lead]
+    after = np.zeros(len(lead), bool)  # the character before, in the same part, is white space
+    after[1:] = white[:-1] & ~edge[1:]
+    spaced = np.zeros(len(lead), bool)
+    spaced[1:] = after[1:] & (raw[lead[:-1]] == 0x20)
+    leads = np.zeros(len(lead), bool)  # the character behind, in the same part, is none
+    leads[:-1] = ~white[1:] & ~edge[1:]
+    # A run of white space is a word; its last character starts the next one (a space) or stands alone.
+    start = edge | np.where(white, ~after | leads, after & ~spaced)
+    at = lead[start]
+    ends = np.append(at, len(raw)).astype(np.int64)
+    out = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw)))
+    return out, np.diff(np.searchsorted(at, offsets))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: small ones take little."""
+    x = np.ascontiguousarray(x, np.uint32)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).reshape(-1).astype(np.int64)
+
+
+class _Slice:
+    """Documents gathered until they are a slice."""
+
+    def __init__(self):
+        self.ids, self.sizes, self.words, self.bytes = [], [], [], 0
+
+    def add(self, ids: pa.Array, texts: pa.Array, found: pa.Array, sizes: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.sizes.append(sizes)
+        self.words.append(found)
+        self.bytes += pc.sum(pc.binary_length(texts)).as_py() or 0
+
+    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
+        coded = pa.concat_arrays(self.words).dictionary_encode()
+        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        order = np.argsort(-np.bincount(code, minlength=len(distinct)), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        sizes = np.concatenate(self.sizes)
+        listed = distinct.take(pa.array(order)).cast(pa.string())
+        values = [[number], [len(code)], [_packed(place[code])], [len(sizes)], [_packed(sizes)]]
+        flat = pa.concat_arrays(self.ids)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (flat, listed)]
+        return pa.RecordBatch.from_arrays([pa.array(v, schema.field(k).type) for k, v in enumerate(values)] + lists,
+                                          names=schema.names)
+
+
+def _cut(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
+    """One row per slice: its word numbers, document sizes and ids, and its distinct words."""
+    id_type = dict(docs.dtypes)[id_col]
+    specials = _specials(path)
+    fixed = pa.schema([("slice", pa.int64()), ("n_words", pa.int64()), ("codes", pa.binary()), ("n_docs", pa.int64()),
+                       ("sizes", pa.binary()), ("ids", pa.null()), ("words", pa.null())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        now = _Slice()
+        for batch in ts.lean_batches(batches):
+            for first, texts in ts.slices(batch.column(1)):
+                now.add(batch.column(0).slice(first, len(texts)), texts, *words(texts, specials))
+                if now.bytes >= SLICE_BYTES:
+                    yield now.row(number, fixed)
+                    number, now = number + 1, _Slice()
+        if now.ids:
+            yield now.row(number, fixed)
+
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
+        run, f"slice long, n_words long, codes binary, n_docs long, sizes binary, ids array<{id_type}>, words array<string>")
+
+
+def _deal(slices: DataFrame, parts: int) -> DataFrame:
+    """(part, slice, n, codes, words): the distinct words of every slice by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in ts.lean_batches(batches):
+            for number, listed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                flat = listed.values
+                part = np.fromiter((zlib.crc32(w) for w in flat.cast(pa.binary()).to_pylist()), np.int64, len(flat)) % parts
+                order = np.argsort(part, kind="stable")
+                used, begin = np.unique(part[order], return_index=True)
+                ends = np.append(begin, len(order))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(used.astype(np.int32)), pa.array(np.full(len(used), number)), pa.array(np.diff(ends)),
+                    pa.array([_packed(order[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat.take(pa.array(order)))],
+                    names=["part", "slice", "n", "codes", "words"])
 
-    def __init__(self, path: str):
-        self.tok = _tokenizer(path)
-        probe = [e.ids for e in self.tok.encode_batch(["ab 1,", " ", " cd", "ab 1,  cd"], add_special_tokens=False)]
+    return slices.select("slice", "words").mapInArrow(run, "part int, slice long, n long, codes binary, words array<string>")
+
+
+def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
+    """(slice, n, codes, n_ids, lengths, word_ids): the ids of the dealt words, each distinct word encoded once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in ts.lean_batches(batches) if b.num_rows]
+        if not rows:
+            return
+        tok = _tokenizer(path)
+        probe = [e.ids for e in tok.encode_batch(["ab 1,", " ", " cd", "ab 1,  cd"], add_special_tokens=False)]
         if probe[0] + probe[1] + probe[2] != probe[3]:
             raise ValueError(f"{path}: this tokenizer does not start afresh at a word's leading space")
-        self.memo = ts.Recent(MEMO_WORDS)
-
-    def __call__(self, distinct: list[str]) -> pa.ListArray:
-        ids = [self.memo.get(w) for w in distinct]
-        new = [i for i, x in enumerate(ids) if x is None]
-        for k in range(0, len(new), CALL_WORDS):
-            part = new[k: k + CALL_WORDS]
-            for i, e in zip(part, self.tok.encode_batch([distinct[i] for i in part], add_special_tokens=False)):
-                ids[i] = e.ids
-                if len(distinct[i]) <= MEMO_CHARS:
-                    self.memo.put(distinct[i], ids[i])
-        return pa.array(ids, pa.list_(pa.int32()))
-
-
-def _encode_slice(lists: pa.Array, table: WordTable) -> pa.ListArray:
-    """Id lists of the documents of a slice from their word lists."""
-    parents = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-    enc = lists.flatten().dictionary_encode()
-    per_word = table(enc.dictionary.to_pylist()).take(enc.indices)
-    sizes = pc.list_value_length(per_word).to_numpy(zero_copy_only=False)
-    per_doc = np.bincount(parents, weights=sizes, minlength=len(lists)).astype(np.int64)
-    offsets = np.concatenate(([0], np.cumsum(per_doc))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), per_word.flatten())
+        flat = pa.chunked_array([b.column("words").flatten() for b in rows]).combine_chunks().dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        ids: list[list[int]] = []
+        for k in range(0, len(distinct), CALL_WORDS):
+            ids += [e.ids for e in tok.encode_batch(distinct[k: k + CALL_WORDS], add_special_tokens=False)]
+        table, code = pa.array(ids, pa.list_(pa.int32())), flat.indices
+        at = 0
+        for b in rows:
+            out = []
+            for n in b.column("n").to_pylist():
+                got = table.take(code.slice(at, n))
+                at += n
+                lengths, values = pc.list_value_length(got).to_numpy(zero_copy_only=False), got.flatten().to_numpy(zero_copy_only=False)
+                out.append((len(values), _packed(lengths), _packed(values)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("slice"), b.column("n"), b.column("codes"), pa.array([x[0] for x in out], pa.int64()),
+                 *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2))],
+                names=["slice", "n", "codes", "n_ids", "lengths", "word_ids"])
+
+    return dealt.select("slice", "n", "codes", "words").mapInArrow(
+        run, "slice long, n long, codes binary, n_ids long, lengths binary, word_ids binary")
+
+
+def _slice_ids(own: pa.Table, table: pa.Table) -> pa.ListArray:
+    """The ids of each document of a slice, from its word numbers and the ids of its distinct words."""
+    row = {c: own.column(c)[0].as_py() for c in ("n_words", "codes", "n_docs", "sizes")}
+    sizes, code = _unpacked(row["sizes"], row["n_docs"]), _unpacked(row["codes"], row["n_words"])
+    place, lengths, values = [], [], []
+    for n, codes, n_ids, size, ids in zip(*(table.column(c).to_pylist() for c in ("n", "codes", "n_ids", "lengths", "word_ids"))):
+        place.append(_unpacked(codes, n))
+        lengths.append(_unpacked(size, n))
+        values.append(_unpacked(ids, n_ids))
+    if not place:
+        return pa.array([[]] * len(sizes), pa.list_(pa.int32()))
+    order = np.argsort(np.concatenate(place))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.concatenate(lengths)))).astype(np.int32)),
+                                     pa.array(np.concatenate(values).astype(np.int32)))
+    per_word = lists.take(pa.array(order)).take(pa.array(code))
+    before = np.concatenate(([0], np.cumsum(pc.list_value_length(per_word).to_numpy(zero_copy_only=False))))
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    return pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), per_word.flatten())
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col`` and the ``ids`` of every text, as the tokenizer library gives them without added special tokens."""
+    tasks = partitions(docs.sparkSession)
+    slices = keep(_cut(docs, path, id_col, text_col), "slices")
+    listed = slices.agg(F.sum(F.size("words"))).first()[0] or 0
+    parts = max(tasks, -(-listed // TASK_WORDS))
+    table = _encode_words(_deal(slices, parts).repartition(parts, "part"), path)
+
+    def join(own: pa.Table, found: pa.Table) -> pa.Table:
+        ids = own.column("ids").combine_chunks().flatten()
+        return pa.Table.from_arrays([ids, _slice_ids(own, found)], names=[id_col, "ids"])
+
+    return slices.drop("words").groupBy("slice").cogroup(table.groupBy("slice")).applyInArrow(
+        join, f"{id_col} {dict(docs.dtypes)[id_col]}, ids array<int>")
 
 
 def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -111,24 +269,6 @@ def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         start = end
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and the ``ids`` of every text, as the tokenizer library gives them without added special tokens."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(path)  # for this task only: a worker that lives on keeps no table
-        for batch in ts.lean_batches(batches):
-            lists = batch.column(1)
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            for a, b in _runs(sizes, SLICE_WORDS):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), _encode_slice(lists.slice(a, b - a), table)],
-                    names=[id_col, "ids"])
-
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(id_col, words(text, _specials(path)).alias("words")).mapInArrow(
-        run, f"{id_col} {dict(docs.dtypes)[id_col]}, ids array<int>")
-
-
 def _byte_of() -> dict[str, int]:
     """The byte behind each letter of a byte-level vocabulary: printable bytes are themselves, others follow 255."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -162,7 +302,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
         for batch in ts.lean_batches(batches):
             lists = batch.column(1)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            for a, b in _runs(sizes, SLICE_WORDS):
+            for a, b in _runs(sizes, SLICE_IDS):
                 part = lists.slice(a, b - a)
                 offsets = np.concatenate(([0], np.cumsum(sizes[a:b]))).astype(np.int32)
                 got = pa.ListArray.from_arrays(pa.array(offsets), table.take(part.flatten()))
