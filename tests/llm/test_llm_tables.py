@@ -69,6 +69,17 @@ def test_search_edge_vectors(spark):
     assert multi_index.search(df.where("vec_id = 3"), F.lit(True)).count() == 0
 
 
+def test_repeated_query_rows_have_lists_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [0.5, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = multi_index.search(df, F.col("id") % 20 == 0, k=3).collect()
+    want = []
+    for n, (i, v) in enumerate(rows[:3]):
+        others = sorted((-(v[0] * w[0] + v[1] * w[1]), j) for m, (j, w) in enumerate(rows) if m != n)
+        want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(others[:3])]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_walk_visits_cells_by_falling_sum():
     rng = np.random.default_rng(2)
     books = multi_index.Codebooks(rng.normal(size=(200, 6)), 8)

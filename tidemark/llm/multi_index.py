@@ -15,7 +15,8 @@ each query.
 Cases: vectors that are null, empty, zero, hold null or non-finite components, or
 differ from the most common length take no part; equal scores rank by smaller
 id; with fewer candidates than asked, all are returned; extra columns are not
-read; rows of equal id are separate entries.
+read; rows of equal id are separate entries and separate queries (each has a list of
+its own, without itself but with the others).
 """
 
 from __future__ import annotations
@@ -109,9 +110,10 @@ def _assign(rows: DataFrame, books: Codebooks, id_type: str) -> DataFrame:
                 c1, c2 = books.cells(_matrix(batch.column(1)))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(c1 % PARTS, pa.int32()), pa.array(books.number(c1, c2), pa.int32())],
-                    names=["id", "vec", "part", "cell"])
+                    names=["id", "vec", "asks", "row", "part", "cell"])
 
-    return rows.mapInArrow(run, f"id {id_type}, vec array<double>, part int, cell int")
+    return rows.select("id", "vec", "asks", "row").mapInArrow(
+        run, f"id {id_type}, vec array<double>, asks boolean, row long, part int, cell int")
 
 
 def _probes(queries: DataFrame, books: Codebooks, sizes: np.ndarray, enough: int, id_type: str) -> DataFrame:
@@ -130,23 +132,23 @@ def _probes(queries: DataFrame, books: Codebooks, sizes: np.ndarray, enough: int
                     cells.append(own)
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(parts, pa.int32()),
-                 pa.array(cells, pa.list_(pa.int32()))], names=["id", "vec", "part", "cells"])
+                [*(batch.column(k).take(at) for k in range(3)), pa.array(parts, pa.int32()),
+                 pa.array(cells, pa.list_(pa.int32()))], names=["id", "vec", "row", "part", "cells"])
 
-    return queries.mapInArrow(run, f"id {id_type}, vec array<double>, part int, cells array<int>")
+    return queries.select("id", "vec", "row").mapInArrow(
+        run, f"id {id_type}, vec array<double>, row long, part int, cells array<int>")
 
 
 def _rerank(probes: DataFrame, entries: DataFrame, k: int, id_type: str) -> DataFrame:
-    """(query_id, vec_id, score): the best ``k`` entries of every block for every query that looks at it."""
+    """(query_row, query_id, vec_id, score): the best ``k`` entries of every block for every query that looks at it."""
 
     def run(queries: pa.Table, block: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
         if queries.num_rows and block.num_rows:
-            q_ids, v_ids = queries.column("id"), block.column("id")
             x, y = _matrix(queries.column("vec").combine_chunks()), _matrix(block.column("vec").combine_chunks())
-            cell, ids, own = (c.to_numpy() for c in (block.column("cell"), v_ids, q_ids))
+            cell, ids, rows, own = (c.to_numpy() for c in (*(block.column(c) for c in ("cell", "id", "row")), queries.column("row")))
             for row, cells in enumerate(queries.column("cells").to_numpy()):
-                at = np.flatnonzero(np.isin(cell, cells) & (ids != own[row]))
+                at = np.flatnonzero(np.isin(cell, cells) & (rows != own[row]))
                 score = y[at] @ x[row]
                 if len(at) > 4 * k:
                     edge = np.partition(score, len(score) - k)[len(score) - k]
@@ -156,12 +158,14 @@ def _rerank(probes: DataFrame, entries: DataFrame, k: int, id_type: str) -> Data
                 out_v.append(at[best])
                 out_s.append(score[best])
         flat = lambda x, kind: pa.array(np.concatenate(x or [np.zeros(0)]).astype(kind))
-        return pa.table([queries.column("id").take(flat(out_q, np.int64)), block.column("id").take(flat(out_v, np.int64)),
-                         flat(out_s, np.float64)], names=["query_id", "vec_id", "score"])
+        at = flat(out_q, np.int64)
+        return pa.table([queries.column("row").take(at), queries.column("id").take(at),
+                         block.column("id").take(flat(out_v, np.int64)), flat(out_s, np.float64)],
+                        names=["query_row", "query_id", "vec_id", "score"])
 
     keys = ["part", "_eb", "_qb"]
     return probes.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(
-        run, f"query_id {id_type}, vec_id {id_type}, score double")
+        run, f"query_row long, query_id {id_type}, vec_id {id_type}, score double")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = CENTROIDS, probe: float = PROBE,
@@ -174,11 +178,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = C
         return rows.limit(0).select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
                                     F.lit(0.0).alias("score"))
     books = Codebooks(np.array(sample.tolist()), min(centroids, len(sample)))
-    index = keep(_assign(rows, books, id_type), "index")
+    numbered = rows.withColumn("asks", F.coalesce(is_query, F.lit(False))).withColumn("row", F.monotonically_increasing_id())
+    index = keep(_assign(numbered, books, id_type), "index")  # written: the row numbers stay
     sizes = np.zeros((len(books.first), len(books.second)), np.int64)
     for cell, n in index.groupBy("cell").count().collect():  # at most one row per cell
         sizes.flat[cell] = n
-    queries = rows.where(is_query)
+    queries = index.where("asks")
     # Blocks of a part: as many as its entries fill; every block meets every block of queries.
     fill = [max(1, -(-int(sizes[p::PARTS].sum()) // ENTRY_BLOCK)) for p in range(PARTS)]
     entry_blocks = F.get(F.array(*[F.lit(n) for n in fill]), F.col("part"))
@@ -186,10 +191,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, centroids: int = C
     enough = max(least, int(probe * sizes.sum()))
     probes = (_probes(queries.repartition(max(2, query_blocks)), books, sizes, enough, id_type)
               .withColumn("_eb", F.explode(F.sequence(F.lit(0), entry_blocks - 1)))
-              .withColumn("_qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")))
-    entries = (index.withColumn("_eb", F.pmod(F.xxhash64("id"), entry_blocks).cast("int"))
+              .withColumn("_qb", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int")))
+    entries = (index.withColumn("_eb", F.pmod(F.xxhash64("row"), entry_blocks).cast("int"))
                .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
     found = _rerank(probes, entries, k, id_type)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
