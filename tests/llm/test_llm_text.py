@@ -2,10 +2,12 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from conftest import SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -193,6 +195,49 @@ def test_model_scores_equal_plain_interpolation(spark):
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(x), sum(uni[w] > 0 for w in x), n)
 
 
+def test_model_scores_are_exact_for_given_weights(spark, monkeypatch):
+    """Scores with fixed weights per context bucket; estimates of the held-out rows leave these rows out of all counts."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["The", "the", "cat", "sat", "on", "é", "mat" + str(rng.randrange(9))], k=rng.randrange(9)))
+             for _ in range(90)]
+    weights = np.random.default_rng(1).dirichlet([2, 2, 2], 66)
+    seen = []
+    monkeypatch.setattr(deleted_interp, "learn_weights", lambda cells, v: seen.extend(cells) or weights)
+    rows = [(i if i % 7 else None, t) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = deleted_interp.score(d, F.col("doc_id") % 5 == 1, block_ids=16).collect()
+    train = [(i, tokens(t)) for i, t in rows if i is None or i % 5 != 1]
+    hashes = {r.doc_id: r.h for r in d.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(deleted_interp.HELD_SHARE)).alias("h")).collect()}
+
+    def counts(part):
+        uni = Counter(w for x in part for w in x)
+        return uni, Counter(p for x in part for p in zip(["\0begin", *x], x)), uni + Counter({"\0begin": len(part)})
+
+    uni, pair, context = counts([x for _, x in train])
+    n, v = sum(uni.values()), len(uni)
+
+    def score(x):
+        total = 0.0
+        for h, w in zip(["\0begin", *x], x):
+            lam = weights[1 + int(math.log2(context[h])) if context[h] else 0]
+            total += math.log10(lam[0] * pair[h, w] / max(context[h], 1) + lam[1] * uni[w] / n + lam[2] / (v + 1))
+        return total
+
+    want = sorted((str(i), score(tokens(t))) for i, t in rows)
+    got = sorted((str(r.doc_id), r.score) for r in out)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(got, want))
+    held = [x for i, x in train if hashes[i] == 0]
+    uni, _, _ = counts([x for i, x in train if hashes[i] != 0])
+    mean = sum(uni[w] for x in held for w in x) / sum(uni.values())
+    assert held and math.isclose(sum(c * p1 for _, c, _, p1 in seen), mean, rel_tol=1e-9)
+
+
+def test_counts_beyond_four_bytes():
+    for x in ([], [0, 5], [7, 1 << 32], [1 << 40, 3]):
+        assert deleted_interp._unpack_counts(deleted_interp._pack_counts(np.array(x, np.int64))).tolist() == x
+
+
 def test_weights_by_em_follow_the_held_out_tokens():
     sure = [(3, 100.0, 0.5, 0.01)]
     none = [(0, 100.0, 0.0, 0.01)]

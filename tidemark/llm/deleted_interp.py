@@ -14,7 +14,7 @@ with its answers; texts are shuffled once.  N-grams are 64-bit hashes.
 
 Cases: a null or empty text is its end token alone; repeated rows count each; an
 empty training set leaves the uniform estimate; extra columns are not read.
-Blocks are runs of ``BLOCK_IDS`` ids; null ids are one block.
+Blocks are runs of ``BLOCK_IDS`` ids; rows without an id are dealt to blocks by their text.
 """
 
 from __future__ import annotations
@@ -98,6 +98,16 @@ def _unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
 
 
+def _pack_counts(x: np.ndarray) -> bytes:
+    """Counts in four bytes each, or in eight where one of them needs it."""
+    kind = np.uint32 if not len(x) or x.max() < 1 << 32 else np.uint64
+    return bytes([np.dtype(kind).itemsize]) + _pack(x.astype(kind))
+
+
+def _unpack_counts(raw: bytes) -> np.ndarray:
+    return _unpack(raw[1:], {4: np.uint32, 8: np.uint64}[raw[0]]).astype(np.int64)
+
+
 def _block_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of a set of documents with their counts; the start counts once a document."""
     tokens, lens = _tokens(texts)
@@ -122,7 +132,7 @@ def _questions(rows: DataFrame, bits: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(first, pa.int32()), pa.array(np.full(len(first), block), pa.int64()),
                          pa.array([_pack_sorted(x) for x in np.split(keys, cut)], pa.binary()),
-                         pa.array([_pack(x.astype(np.uint32)) for x in np.split(n, cut)], pa.binary())],
+                         pa.array([_pack_counts(x) for x in np.split(n, cut)], pa.binary())],
                         names=["bucket", "block", "keys", "counts"])
 
     return rows.select("block", "text").mapInArrow(run, "bucket int, block long, keys binary, counts binary")
@@ -134,18 +144,19 @@ def _answers(questions: DataFrame) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         blocks = group.column("block").to_numpy()
         keys = [_unpack_sorted(x) for x in group.column("keys").to_pylist()]
-        counts = [_unpack(x, np.uint32).astype(np.int64) for x in group.column("counts").to_pylist()]
+        counts = [_unpack_counts(x) for x in group.column("counts").to_pylist()]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         flat = np.concatenate(counts)
         role = np.repeat(blocks % 3, [len(x) for x in keys])
-        total = np.bincount(place, weights=flat * (role != UNSEEN), minlength=len(distinct)).astype(np.uint32)
-        held = np.bincount(place, weights=flat * (role == HELD), minlength=len(distinct)).astype(np.uint32)
+        total, held = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        np.add.at(total, place, flat * (role != UNSEEN))
+        np.add.at(held, place, flat * (role == HELD))
         types = int(((total > 0) & (distinct % np.uint64(2) == 1) & (distinct != _BEGIN_KEY)).sum())
         at = np.split(place, np.cumsum([len(x) for x in keys])[:-1])
         out = []
         for k, block in enumerate(np.unique(blocks)):
             asked = np.unique(np.concatenate([at[i] for i in np.flatnonzero(blocks == block)]))
-            out.append((block, _pack(total[asked]), _pack(held[asked]) if block % 3 == HELD else None,
+            out.append((block, _pack_counts(total[asked]), _pack_counts(held[asked]) if block % 3 == HELD else None,
                         0 if k else types))
         block, t, h, n = zip(*out)
         bucket = group.column("bucket")[0].as_py()
@@ -174,8 +185,7 @@ class _Counts:
     @staticmethod
     def _joined(column: pa.ChunkedArray, order: np.ndarray) -> np.ndarray:
         raw = column.to_pylist()
-        parts = [_unpack(raw[i], np.uint32) for i in order if raw[i] is not None]
-        return np.concatenate(parts or [np.zeros(0, np.uint32)]).astype(np.int64)
+        return np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(raw[i]) for i in order if raw[i] is not None)])
 
     def of_tokens(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         w = counts[self.uni]
@@ -253,23 +263,25 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     role = F.when(unseen, UNSEEN).when(F.pmod(F.xxhash64(F.col(id_col)), F.lit(HELD_SHARE)) == 0, HELD).otherwise(TRAIN)
     number = F.col(id_col) if id_type in ("tinyint", "smallint", "int", "bigint") else \
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40))
+    number = F.coalesce(number.cast("long"), F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(1 << 26)))
     # 3 * run of ids + role, so that the role is the block modulo 3 (runs are made non-negative).
-    run_of = F.coalesce(F.pmod(F.floor(number / F.lit(block_ids)), F.lit(1 << 50)), F.lit(1 << 50))
+    run_of = F.pmod(F.floor(number / F.lit(block_ids)), F.lit(1 << 50))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), unseen.alias("unseen"),
                        (run_of * 3 + role).cast("long").alias("block"))
     bits = max(3, (2 * partitions(spark) - 1).bit_length())
     answers = keep(_answers(_questions(rows, bits)), "ngram_counts")
-    n, v = _totals(answers, rows)
-    held = _cells(rows.where(F.col("block") % 3 == HELD), answers.where(F.col("block") % 3 == HELD), n, v)
+    n, n_held, v = _totals(answers, rows)
+    held = _cells(rows.where(F.col("block") % 3 == HELD), answers.where(F.col("block") % 3 == HELD), n - n_held, v)
     cells = [(r["cell"] >> 14, r["n"], r["p2"] / r["n"], r["p1"] / r["n"]) for r in held.collect()]
     return _scored(rows, answers, n, v, learn_weights(cells, v), id_col, id_type)
 
 
-def _totals(answers: DataFrame, rows: DataFrame) -> tuple[int, int]:
-    """Training tokens and distinct training tokens."""
-    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    n = rows.where(F.col("block") % 3 != UNSEEN).agg(F.sum(words.cast("long") + 1)).first()[0] or 0
-    return n, answers.agg(F.sum("types")).first()[0] or 0
+def _totals(answers: DataFrame, rows: DataFrame) -> tuple[int, int, int]:
+    """Training tokens, those of them in held-out rows, and distinct training tokens."""
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + 1
+    held = F.sum(F.when(F.col("block") % 3 == HELD, words))
+    n, n_held = rows.where(F.col("block") % 3 != UNSEEN).agg(F.sum(words), held).first()
+    return n or 0, n_held or 0, answers.agg(F.sum("types")).first()[0] or 0
 
 
 def _scored(rows: DataFrame, answers: DataFrame, n: int, v: int, weights: np.ndarray, id_col: str,
