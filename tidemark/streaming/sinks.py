@@ -11,6 +11,7 @@ windows it updated), so a replayed batch rewrites the same files.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
 from ..sources.files import dead_letters, good_rows
+from .table import Version, VersionedTable
 
 
 def _checkpoint(df: DataFrame, name: str) -> str:
@@ -85,6 +87,27 @@ def dead_letter_writer(good_path: str, dead_path: str) -> Callable[[DataFrame, i
     return write
 
 
+def at_arrival(writer: Callable[[DataFrame, int], None], log_path: str, col: str = "arrival",
+               clock: Callable[[], float] = time.time) -> Callable[[DataFrame, int], None]:
+    """Processing time (A8): ``writer`` gets every micro-batch with ``col``, the time at which the batch came.
+
+    The time is noted in a versioned table before the batch is written, so a replayed batch gets the time of its first
+    run.  ``clock`` gives seconds; a clock that goes back stands still.
+    """
+    times = VersionedTable(log_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before, noted = times.version(spark, before=batch_id), times.version(spark, before=batch_id + 1)
+        if noted is None or noted.batch != batch_id:
+            now = int(clock() * 1_000_000)
+            noted = Version(batch_id, meta={"us": max(now, before.meta["us"]) if before else now})
+            times.commit(spark, noted)
+        writer(batch.withColumn(col, F.timestamp_micros(F.lit(noted.meta["us"]))), batch_id)
+
+    return write
+
+
 def batch_log(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer appending each micro-batch under ``batch_id=<n>`` (overwritten on replay)."""
 
