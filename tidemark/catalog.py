@@ -240,6 +240,13 @@ def ad_blacklist(spark, sf_dir):
     return blacklist.blacklist_warnings(ad.ad_clicks(_ev(spark, sf_dir)), max_click=2, daily_reset=True)
 
 
+@register("ad_click_numbers", with_views("""SELECT user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE) AS day, event_id, ts,
+        row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE) ORDER BY ts, event_id) AS click_no
+    FROM ad_clicks""", "ad_clicks"))
+def ad_click_numbers(spark, sf_dir):
+    return blacklist.click_numbers(ad.ad_clicks(_ev(spark, sf_dir))).select("user_id", "ad_id", "day", "event_id", "ts", "click_no")
+
+
 @register("ad_blacklist_no_reset", with_views(f"""SELECT user_id, ad_id, ts, event_id,
         'clicked more than 5 times' AS warning_msg FROM {_sql_click_no('user_id, ad_id')}
     WHERE click_no = 5""", "ad_clicks"))
