@@ -4,7 +4,7 @@
    white space, or a run of white space), the coarsest cut at which a byte-level
    tokenizer always starts afresh.  The documents of a slice (a few MB of text)
    share a list of distinct words, commonest first; each position becomes its
-   word's number there.  Slices are written to the shared folder, one row each.
+   word's number there.
 2. The slices' distinct words are dealt by their hash, so each word of the corpus
    meets in one task from all slices and is encoded there once.
 3. The ids return to the slices: a join on the slice and, in it, on the word's
@@ -12,8 +12,10 @@
 4. Decoding joins every id with its piece of bytes (the vocabulary bounds that table,
    so it lies in every task) and concatenates the pieces.
 
-No text is shuffled, only word numbers (compressed) and distinct words.  A word that
-a third of all positions hold is one entry per slice.
+No text is shuffled, only word numbers and distinct words, both compressed.  A word
+that a third of all positions hold is one entry per slice.  The documents are scanned
+twice (for the words and for the numbers) and must come in the same order, as files
+do; slices carry a check sum of their words, and a difference is an error.
 
 Cases: a null or empty text has no ids and decodes to an empty text; special
 strings inside a text are their special id, as in the library; repeated rows are
@@ -35,12 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textstats as ts
-from .tables import keep, partitions
+from .tables import partitions
 
-SLICE_BYTES = 8 << 20  # bytes of text in a slice, about
+SLICE_BYTES = 16 << 20  # bytes of text in a slice, about
 SLICE_IDS = 400_000  # ids decoded at once
 CALL_WORDS = 20_000  # words in one encoder call
-TASK_WORDS = 400_000  # distinct words (per slice) in an encoding task, about
 
 
 def _tokenizer(path: str):
@@ -119,6 +120,19 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).reshape(-1).astype(np.int64)
 
 
+def _packed_strings(x: pa.Array) -> tuple[bytes, bytes]:
+    """(lengths, bytes) of strings, compressed."""
+    x = x.cast(pa.large_binary())
+    raw, offsets = ts._flat(x)
+    return _packed(np.diff(offsets)), pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked_strings(lengths: bytes, data: bytes, n: int) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(_unpacked(lengths, n))))
+    raw = pa.decompress(data, decompressed_size=int(ends[-1]), codec="zstd")
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(ends), raw)
+
+
 class _Slice:
     """Documents gathered until they are a slice."""
 
@@ -131,66 +145,85 @@ class _Slice:
         self.words.append(found)
         self.bytes += pc.sum(pc.binary_length(texts)).as_py() or 0
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        coded = pa.concat_arrays(self.words).dictionary_encode()
-        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    def coded(self) -> tuple[np.ndarray, pa.Array]:
+        """The word number of every position, and the distinct words by number, commonest first."""
+        enc = pa.concat_arrays(self.words).dictionary_encode()
+        code, distinct = enc.indices.to_numpy(zero_copy_only=False), enc.dictionary
         order = np.argsort(-np.bincount(code, minlength=len(distinct)), kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        sizes = np.concatenate(self.sizes)
-        listed = distinct.take(pa.array(order)).cast(pa.string())
-        values = [[number], [len(code)], [_packed(place[code])], [len(sizes)], [_packed(sizes)]]
-        flat = pa.concat_arrays(self.ids)
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (flat, listed)]
-        return pa.RecordBatch.from_arrays([pa.array(v, schema.field(k).type) for k, v in enumerate(values)] + lists,
-                                          names=schema.names)
-
-
-def _cut(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
-    """One row per slice: its word numbers, document sizes and ids, and its distinct words."""
-    id_type = dict(docs.dtypes)[id_col]
+        return place[code], distinct.take(pa.array(order))
+
+    def numbers(self, slice_id: int) -> pa.RecordBatch:
+        """The slice as one row: word numbers, document sizes and ids."""
+        code, distinct = self.coded()
+        sizes, flat = np.concatenate(self.sizes), pa.concat_arrays(self.ids)
+        row = [slice_id, _check(distinct), len(code), _packed(code), len(sizes), _packed(sizes), len(distinct)]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], k) for v, k in zip(row, kinds)]
+            + [pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
+            names=["slice", "check", "n_words", "codes", "n_docs", "sizes", "n_distinct", "ids"])
+
+    def dealt(self, slice_id: int, parts: int) -> pa.RecordBatch:
+        """The slice's distinct words by their hash, in their order; ``steps`` are the differences of their numbers."""
+        _, distinct = self.coded()
+        n = len(distinct)
+        part = np.fromiter((zlib.crc32(w) for w in distinct.cast(pa.large_binary()).to_pylist()), np.int64, n) % parts
+        order = np.argsort(part, kind="stable")
+        used, begin = np.unique(part[order], return_index=True)
+        spans = list(zip(begin, np.append(begin[1:], n)))
+        packed = [_packed_strings(distinct.take(pa.array(order[a:b]))) for a, b in spans]
+        return pa.RecordBatch.from_arrays([
+            pa.array(used.astype(np.int32)), pa.array(np.full(len(used), slice_id)), pa.array(np.full(len(used), _check(distinct))),
+            pa.array([int(b - a) for a, b in spans], pa.int64()),
+            pa.array([_packed(np.diff(order[a:b], prepend=0)) for a, b in spans], pa.binary()),
+            *(pa.array([x[k] for x in packed], pa.binary()) for k in (0, 1))],
+            names=["part", "slice", "check", "n", "steps", "word_lengths", "words"])
+
+
+def _check(distinct: pa.Array) -> int:
+    return zlib.crc32(ts._flat(distinct)[0].tobytes())
+
+
+def _slices(batches: Iterator[pa.RecordBatch], specials: list[str]) -> Iterator[tuple[int, _Slice]]:
+    """The slices of a task's documents, numbered over all tasks."""
+    number, now = TaskContext.get().partitionId() << 32, _Slice()
+    for batch in ts.lean_batches(batches):
+        for first, texts in ts.slices(batch.column(1)):
+            now.add(batch.column(0).slice(first, len(texts)), texts, *words(texts, specials))
+            if now.bytes >= SLICE_BYTES:
+                yield number, now
+                number, now = number + 1, _Slice()
+    if now.ids:
+        yield number, now
+
+
+def _numbers(docs: DataFrame, path: str, id_type: str) -> DataFrame:
+    """One row per slice: its word numbers, document sizes and ids."""
     specials = _specials(path)
-    fixed = pa.schema([("slice", pa.int64()), ("n_words", pa.int64()), ("codes", pa.binary()), ("n_docs", pa.int64()),
-                       ("sizes", pa.binary()), ("ids", pa.null()), ("words", pa.null())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        now = _Slice()
-        for batch in ts.lean_batches(batches):
-            for first, texts in ts.slices(batch.column(1)):
-                now.add(batch.column(0).slice(first, len(texts)), texts, *words(texts, specials))
-                if now.bytes >= SLICE_BYTES:
-                    yield now.row(number, fixed)
-                    number, now = number + 1, _Slice()
-        if now.ids:
-            yield now.row(number, fixed)
+        for number, now in _slices(batches, specials):
+            yield now.numbers(number)
 
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(
-        run, f"slice long, n_words long, codes binary, n_docs long, sizes binary, ids array<{id_type}>, words array<string>")
+    return docs.mapInArrow(run, "slice long, check long, n_words long, codes binary, n_docs long, sizes binary, "
+                                f"n_distinct long, ids array<{id_type}>")
 
 
-def _deal(slices: DataFrame, parts: int) -> DataFrame:
-    """(part, slice, n, codes, words): the distinct words of every slice by their hash."""
+def _deal(docs: DataFrame, path: str, parts: int) -> DataFrame:
+    """(part, slice, check, n, steps, word_lengths, words): the distinct words of every slice by their hash."""
+    specials = _specials(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ts.lean_batches(batches):
-            for number, listed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                flat = listed.values
-                part = np.fromiter((zlib.crc32(w) for w in flat.cast(pa.binary()).to_pylist()), np.int64, len(flat)) % parts
-                order = np.argsort(part, kind="stable")
-                used, begin = np.unique(part[order], return_index=True)
-                ends = np.append(begin, len(order))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(used.astype(np.int32)), pa.array(np.full(len(used), number)), pa.array(np.diff(ends)),
-                    pa.array([_packed(order[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat.take(pa.array(order)))],
-                    names=["part", "slice", "n", "codes", "words"])
+        for number, now in _slices(batches, specials):
+            yield now.dealt(number, parts)
 
-    return slices.select("slice", "words").mapInArrow(run, "part int, slice long, n long, codes binary, words array<string>")
+    return docs.mapInArrow(run, "part int, slice long, check long, n long, steps binary, word_lengths binary, words binary")
 
 
 def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
-    """(slice, n, codes, n_ids, lengths, word_ids): the ids of the dealt words, each distinct word encoded once."""
+    """(slice, check, n, steps, n_ids, lengths, word_ids): the ids of the dealt words, each distinct word encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [b for b in ts.lean_batches(batches) if b.num_rows]
@@ -200,7 +233,8 @@ def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
         probe = [e.ids for e in tok.encode_batch(["ab 1,", " ", " cd", "ab 1,  cd"], add_special_tokens=False)]
         if probe[0] + probe[1] + probe[2] != probe[3]:
             raise ValueError(f"{path}: this tokenizer does not start afresh at a word's leading space")
-        flat = pa.chunked_array([b.column("words").flatten() for b in rows]).combine_chunks().dictionary_encode()
+        flat = pa.concat_arrays([_unpacked_strings(size, data, n) for b in rows for n, size, data in zip(
+            *(b.column(c).to_pylist() for c in ("n", "word_lengths", "words")))]).dictionary_encode()
         distinct = flat.dictionary.to_pylist()
         ids: list[list[int]] = []
         for k in range(0, len(distinct), CALL_WORDS):
@@ -215,21 +249,23 @@ def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
                 lengths, values = pc.list_value_length(got).to_numpy(zero_copy_only=False), got.flatten().to_numpy(zero_copy_only=False)
                 out.append((len(values), _packed(lengths), _packed(values)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("slice"), b.column("n"), b.column("codes"), pa.array([x[0] for x in out], pa.int64()),
+                [*(b.column(c) for c in ("slice", "check", "n", "steps")), pa.array([x[0] for x in out], pa.int64()),
                  *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2))],
-                names=["slice", "n", "codes", "n_ids", "lengths", "word_ids"])
+                names=["slice", "check", "n", "steps", "n_ids", "lengths", "word_ids"])
 
-    return dealt.select("slice", "n", "codes", "words").mapInArrow(
-        run, "slice long, n long, codes binary, n_ids long, lengths binary, word_ids binary")
+    return dealt.select("slice", "check", "n", "steps", "word_lengths", "words").mapInArrow(
+        run, "slice long, check long, n long, steps binary, n_ids long, lengths binary, word_ids binary")
 
 
 def _slice_ids(own: pa.Table, table: pa.Table) -> pa.ListArray:
     """The ids of each document of a slice, from its word numbers and the ids of its distinct words."""
-    row = {c: own.column(c)[0].as_py() for c in ("n_words", "codes", "n_docs", "sizes")}
+    row = {c: own.column(c)[0].as_py() for c in ("slice", "n_words", "codes", "n_docs", "sizes", "n_distinct")}
+    if sum(table.column("n").to_pylist()) != row["n_distinct"]:
+        raise ValueError(f"slice {row['slice']}: the two scans of the documents differ")
     sizes, code = _unpacked(row["sizes"], row["n_docs"]), _unpacked(row["codes"], row["n_words"])
     place, lengths, values = [], [], []
-    for n, codes, n_ids, size, ids in zip(*(table.column(c).to_pylist() for c in ("n", "codes", "n_ids", "lengths", "word_ids"))):
-        place.append(_unpacked(codes, n))
+    for n, steps, n_ids, size, ids in zip(*(table.column(c).to_pylist() for c in ("n", "steps", "n_ids", "lengths", "word_ids"))):
+        place.append(np.cumsum(_unpacked(steps, n)))
         lengths.append(_unpacked(size, n))
         values.append(_unpacked(ids, n_ids))
     if not place:
@@ -245,18 +281,19 @@ def _slice_ids(own: pa.Table, table: pa.Table) -> pa.ListArray:
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and the ``ids`` of every text, as the tokenizer library gives them without added special tokens."""
-    tasks = partitions(docs.sparkSession)
-    slices = keep(_cut(docs, path, id_col, text_col), "slices")
-    listed = slices.agg(F.sum(F.size("words"))).first()[0] or 0
-    parts = max(tasks, -(-listed // TASK_WORDS))
-    table = _encode_words(_deal(slices, parts).repartition(parts, "part"), path)
+    id_type, parts = dict(docs.dtypes)[id_col], partitions(docs.sparkSession)
+    rows = docs.select(id_col, F.col(text_col).cast("string"))
+    table = _encode_words(_deal(rows, path, parts).repartition(parts, "part"), path)
 
     def join(own: pa.Table, found: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            raise ValueError("words without their slice: the two scans of the documents differ")
         ids = own.column("ids").combine_chunks().flatten()
         return pa.Table.from_arrays([ids, _slice_ids(own, found)], names=[id_col, "ids"])
 
-    return slices.drop("words").groupBy("slice").cogroup(table.groupBy("slice")).applyInArrow(
-        join, f"{id_col} {dict(docs.dtypes)[id_col]}, ids array<int>")
+    keys = ["slice", "check"]
+    return _numbers(rows, path, id_type).groupBy(*keys).cogroup(table.groupBy(*keys)).applyInArrow(
+        join, f"{id_col} {id_type}, ids array<int>")
 
 
 def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
