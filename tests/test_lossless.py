@@ -301,3 +301,15 @@ def test_reconcile_spreads_hot_and_missing_tx_ids(spark):
     # receipts without an id are dealt by their event id
     unnamed = payments._sides(pays, receipts).where("NOT coalesce(tx_id <> '', false)")
     assert unnamed.select("_own").distinct().count() == unnamed.count() > 100
+
+
+def test_statuses_of_hot_and_missing_order_ids(spark):
+    """A third of the events without an order id, a third under one id: the rows of the plain window."""
+    rng = random.Random(12)
+    rows = [(i, [None, 7, rng.randrange(100, 200)][i % 3], rng.choice(["create", "pay", "modify"]), rng.randrange(4 * 3600))
+            for i in range(900)]
+    ev = spark.createDataFrame(rows, "event_id long, order_id long, event_type string, t long").select(
+        "event_id", "order_id", "event_type", from_epoch_seconds(F.col("t")).alias("ts"))
+    assert set(orders.hot_keys(ev, "order_id", 200)) == {7, None} and orders.hot_keys(ev, "order_id", 400) == []
+    spread, plain = orders.payment_status(ev, "5 minutes", hot_rows=200), orders.payment_status(ev, "5 minutes")
+    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty() and plain.where("order_id IS NULL").count() > 50

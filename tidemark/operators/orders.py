@@ -13,9 +13,9 @@ status                 condition
 =====================  ==========================================
 
 One exchange on the order id and one sort by time: the next pay is a window
-minimum over the rest of the order.  An order has a handful of events; where
-single ids collect very many, ``bucket_us`` takes the next pay from the bucketed
-scan of ``plans.ordered`` instead.
+minimum over the rest of the order.  An order has a handful of events; ids that
+collect very many (NULL among them) are looked for first, with a frequent-items
+sketch, and take the next pay from the bucketed scan of ``plans.ordered`` instead.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, micros_to_ts
-from ..plans.ordered import running, ts_bucket
+from ..plans.ordered import HOT_ROWS, MINUTE_US, hot_keys, is_one_of, running, ts_bucket
 from ..plans.sliding import duration_us
 from ..sources.schemas import (CREATE, OTHER_EVENT, PAY, PAY_TIMEOUT, PAY_WITHOUT_CREATE, PAYED, PAYED_TIMEOUT)
 
@@ -38,9 +38,22 @@ def _with_next_pay(ev: DataFrame, bucket_us: int | None) -> DataFrame:
                    -ts_bucket("ts", bucket_us), {"next_pay": F.col("paid_at")}, kind="min")
 
 
-def payment_status(orders: DataFrame, timeout: str = "15 minutes", bucket_us: int | None = None) -> DataFrame:
-    """(order_id, create_ts, pay_ts, status): one row per create, and one per order without a create."""
-    t_us = duration_us(timeout)
+def payment_status(orders: DataFrame, timeout: str = "15 minutes", bucket_us: int | None = None,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(order_id, create_ts, pay_ts, status): one row per create, and one per order without a create.
+
+    ``bucket_us`` takes all ids through the bucketed scan; by default only ids of ``hot_rows`` rows or more are (a small
+    job looks for them when the plan is built).
+    """
+    hot = hot_keys(orders, "order_id", hot_rows) if bucket_us is None else []
+    if not hot:
+        return _status(orders, duration_us(timeout), bucket_us)
+    is_hot = is_one_of("order_id", hot)
+    return _status(orders.where(~is_hot), duration_us(timeout), None).unionByName(
+        _status(orders.where(is_hot), duration_us(timeout), MINUTE_US))
+
+
+def _status(orders: DataFrame, t_us: int, bucket_us: int | None) -> DataFrame:
     kind = F.col("event_type")
     ev = orders.select("order_id", "ts", F.coalesce(kind == CREATE, F.lit(False)).alias("is_create"),
                        F.when(kind == PAY, F.col("ts")).alias("paid_at"))

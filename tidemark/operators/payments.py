@@ -14,8 +14,7 @@
 Tx ids are near unique, so rows are numbered per tx id in one exchange.  Ids of very
 many rows are looked for first, with a frequent-items sketch (one scan of the ids,
 a few KB per task), and are numbered by the bucketed scan of ``plans.ordered``, which
-spreads an id over its minutes.  An id that is not among the ``HOT_IDS`` most frequent
-holds at most a thousandth of the rows.
+spreads an id over its minutes.
 """
 
 from __future__ import annotations
@@ -24,14 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_micros, floor_div
-from ..plans.ordered import MINUTE_US, running, ts_bucket
+from ..plans.ordered import HOT_ROWS, MINUTE_US, hot_keys, is_one_of, running, ts_bucket
 from ..plans.sliding import duration_us
 
 
-HOT_IDS, TRACKED = 1000, 10_000  # ids that the sketch reports, ids that it follows
-HOT_ROWS = 1 << 20  # rows from which an id is spread
-
-
 def _named():
     return F.coalesce(F.col("tx_id") != "", F.lit(False))
 
@@ -64,9 +59,8 @@ def _signed_us(text: str) -> int:
 
 
 def hot_tx_ids(rows: DataFrame, least: int = HOT_ROWS) -> list[str]:
-    """The tx ids of ``least`` rows or more among the ``HOT_IDS`` most frequent ones (counts are the sketch's)."""
-    top = _with_tx(rows).agg(F.expr(f"approx_top_k(tx_id, {HOT_IDS}, {TRACKED})").alias("top")).first().top
-    return [r["item"] for r in top or [] if r["count"] >= least]
+    """The tx ids of ``least`` rows or more (``plans.ordered.hot_keys``)."""
+    return hot_keys(_with_tx(rows), "tx_id", least)
 
 
 def _sides(pays: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -104,7 +98,7 @@ def _paired(pays: DataFrame, receipts: DataFrame, tolerance: str, bucket_us: int
     rows = _sides(pays, receipts)
     hot = hot_tx_ids(rows, hot_rows) if bucket_us is None else []
     if hot:
-        is_hot = F.coalesce(F.col("tx_id").isin(hot), F.lit(False))
+        is_hot = is_one_of("tx_id", hot)
         pairs = _pairs(_numbered(rows.where(~is_hot), None)).unionByName(_pairs(_numbered(rows.where(is_hot), MINUTE_US)))
     else:
         pairs = _pairs(_numbered(rows, bucket_us))

@@ -43,6 +43,26 @@ def join_back(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFra
     return rows.join(named, cond, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
+HOT_KEYS, TRACKED = 1000, 10_000  # keys that the sketch reports, keys that it follows
+HOT_ROWS = 1 << 20  # rows from which a key is spread over buckets
+
+
+def hot_keys(rows: DataFrame, key: str, least: int = HOT_ROWS) -> list:
+    """The values of ``key`` (None: NULL) with ``least`` rows or more among the ``HOT_KEYS`` most frequent ones.
+
+    One scan of the key with a frequent-items sketch, a few KB per task.  A value that is not among them holds at most
+    a thousandth of the rows.  Counts are the sketch's.
+    """
+    top = rows.agg(F.expr(f"approx_top_k({key}, {HOT_KEYS}, {TRACKED})").alias("top")).first().top
+    return [r["item"] for r in top or [] if r["count"] >= least]
+
+
+def is_one_of(key: str, values: Sequence) -> Column:
+    """Whether ``key`` is one of ``values``, NULL included; never NULL."""
+    named = F.coalesce(F.col(key).isin([v for v in values if v is not None]), F.lit(False))
+    return named | F.col(key).isNull() if None in values else named
+
+
 def _by(keys: Sequence[str]):
     """Window spec over keys; with no keys the scan is global (bucket level only)."""
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
