@@ -299,3 +299,40 @@ def test_bpe_of_texts_without_words(spark):
     got = bpe.decode(bpe.encode(docs(spark, [None, "", None]), path), path).collect()
     assert sorted((r.doc_id, r.ids, r.decoded) for r in got) == [(0, [], ""), (1, [], ""), (2, [], "")]
     assert bpe.encode(docs(spark, []), path).collect() == []
+
+
+def test_bpe_slice_in_bounded_memory():
+    """A gathered slice holds no text, and its ids are given some documents at a time."""
+    import pyarrow as pa
+
+    path = catalog.vocabulary("byte_bpe_50k.json")
+    tok, rng = bpe._tokenizer(path), random.Random(5)
+    known = ["w%d" % (k * 7919) for k in range(500)]
+    texts = [" ".join(rng.choices(known, k=2500)) for _ in range(1000)] + ["", "<|endoftext|>"]
+    usual, pool = pa.default_memory_pool(), pa.system_memory_pool()
+    pa.set_memory_pool(pool)
+    start = pool.bytes_allocated()
+    try:
+        gathered, rows = bpe._Slice(), pa.array(texts, pa.large_string())
+        size = rows.nbytes
+        for first, run in bpe.ts.slices(rows):
+            gathered.add(pa.array(range(first, first + len(run))), run, *bpe.words(run, ["<|endoftext|>"]))
+        del rows, run
+        assert pool.bytes_allocated() - start < size // 2
+        own, dealt = (pa.Table.from_batches([b]) for b in (gathered.numbers(3), gathered.dealt(3, 7)))
+        found = []
+        for row in dealt.to_pylist():
+            ids = [tok.encode(w, add_special_tokens=False).ids
+                   for w in bpe._unpacked_strings(row["word_lengths"], row["words"], row["n"]).to_pylist()]
+            found.append(row | {"n_ids": sum(map(len, ids)), "lengths": bpe._packed(np.array([len(x) for x in ids])),
+                                "word_ids": bpe._packed(np.array([i for x in ids for i in x]))})
+        found, got, most = pa.Table.from_pylist(found), {}, 0
+        before = pool.bytes_allocated()
+        for first, lists in bpe._slice_ids(own, found):
+            most = max(most, pool.bytes_allocated() - before)
+            got |= enumerate(lists.to_pylist(), first)
+    finally:
+        pa.set_memory_pool(usual)
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [got[k] for k in range(len(texts))] == want
+    assert most < 4 * sum(map(len, want)) // 2

@@ -8,7 +8,7 @@
 2. The slices' distinct words are dealt by their hash, so each word of the corpus
    meets in one task from all slices and is encoded there once.
 3. The ids return to the slices: a join on the slice and, in it, on the word's
-   number gives the ids of every position in order.
+   number gives the ids of every position in order, some documents at a time.
 4. Decoding joins every id with its piece of bytes (the vocabulary bounds that table,
    so it lies in every task) and concatenates the pieces.
 
@@ -25,6 +25,7 @@ its own; an empty table gives no rows; extra columns of the input are not read.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -40,8 +41,19 @@ from . import textstats as ts
 from .tables import partitions
 
 SLICE_BYTES = 16 << 20  # bytes of text in a slice, about
-SLICE_IDS = 400_000  # ids decoded at once
-CALL_WORDS = 20_000  # words in one encoder call
+SLICE_IDS = 400_000  # ids decoded, or words given their ids, at once
+CALL_WORDS = 5_000  # words in one encoder call
+
+
+def _lean(run):
+    """A function of batches whose worker gives back, when it is through, what it took; lean_batches does so before the last work."""
+
+    @functools.wraps(run)
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(ts.lean_batches(batches))
+        pa.system_memory_pool().release_unused()
+
+    return lean
 
 
 def _tokenizer(path: str):
@@ -112,12 +124,19 @@ def words(texts: pa.Array, specials: list[str]) -> tuple[pa.Array, np.ndarray]:
 def _packed(x: np.ndarray) -> bytes:
     """Numbers as compressed byte planes: small ones take little."""
     x = np.ascontiguousarray(x, np.uint32)
-    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def _planes(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+
+
+def _from_planes(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(np.int32).reshape(-1)
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).reshape(-1).astype(np.int64)
+    return _from_planes(_planes(data, n))
 
 
 def _packed_strings(x: pa.Array) -> tuple[bytes, bytes]:
@@ -134,29 +153,35 @@ def _unpacked_strings(lengths: bytes, data: bytes, n: int) -> pa.Array:
 
 
 class _Slice:
-    """Documents gathered until they are a slice."""
+    """Documents gathered until they are a slice.  Of each run of texts the word numbers and distinct words stay, no text."""
 
     def __init__(self):
-        self.ids, self.sizes, self.words, self.bytes = [], [], [], 0
+        self.ids, self.sizes, self.codes, self.distinct, self.bytes = [], [], [], [], 0
 
     def add(self, ids: pa.Array, texts: pa.Array, found: pa.Array, sizes: np.ndarray) -> None:
-        self.ids.append(ids)
-        self.sizes.append(sizes)
-        self.words.append(found)
+        enc = found.dictionary_encode()
+        self.ids.append(ids.take(pa.array(np.arange(len(ids)))))  # a copy: a slice of the column would hold its whole batch
+        self.sizes.append(sizes.astype(np.int32))
+        self.codes.append(enc.indices.to_numpy(zero_copy_only=False))
+        self.distinct.append(enc.dictionary)
         self.bytes += pc.sum(pc.binary_length(texts)).as_py() or 0
 
-    def coded(self) -> tuple[np.ndarray, pa.Array]:
-        """The word number of every position, and the distinct words by number, commonest first."""
-        enc = pa.concat_arrays(self.words).dictionary_encode()
-        code, distinct = enc.indices.to_numpy(zero_copy_only=False), enc.dictionary
-        order = np.argsort(-np.bincount(code, minlength=len(distinct)), kind="stable")
-        place = np.empty(len(order), np.int64)
+    def ranked(self) -> tuple[list[np.ndarray], pa.Array]:
+        """For each run, the number of each of its distinct words; the slice's distinct words by number, commonest first."""
+        enc = pa.concat_arrays(self.distinct).dictionary_encode()
+        cuts = np.cumsum([len(x) for x in self.distinct])[:-1]
+        runs, count = np.split(enc.indices.to_numpy(zero_copy_only=False), cuts), np.zeros(len(enc.dictionary), np.int64)
+        for run, code in zip(runs, self.codes):
+            count[run] += np.bincount(code, minlength=len(run))
+        order = np.argsort(-count, kind="stable")
+        place = np.empty(len(order), np.uint32)
         place[order] = np.arange(len(order))
-        return place[code], distinct.take(pa.array(order))
+        return [place[run] for run in runs], enc.dictionary.take(pa.array(order))
 
     def numbers(self, slice_id: int) -> pa.RecordBatch:
         """The slice as one row: word numbers, document sizes and ids."""
-        code, distinct = self.coded()
+        runs, distinct = self.ranked()
+        code = np.concatenate([run[code] for run, code in zip(runs, self.codes)])
         sizes, flat = np.concatenate(self.sizes), pa.concat_arrays(self.ids)
         row = [slice_id, _check(distinct), len(code), _packed(code), len(sizes), _packed(sizes), len(distinct)]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
@@ -167,9 +192,10 @@ class _Slice:
 
     def dealt(self, slice_id: int, parts: int) -> pa.RecordBatch:
         """The slice's distinct words by their hash, in their order; ``steps`` are the differences of their numbers."""
-        _, distinct = self.coded()
-        n = len(distinct)
-        part = np.fromiter((zlib.crc32(w) for w in distinct.cast(pa.large_binary()).to_pylist()), np.int64, n) % parts
+        _, distinct = self.ranked()
+        n, raw = len(distinct), distinct.cast(pa.large_binary())
+        part = np.fromiter((zlib.crc32(w) for k in range(0, n, CALL_WORDS) for w in raw.slice(k, CALL_WORDS).to_pylist()),
+                           np.int64, n) % parts
         order = np.argsort(part, kind="stable")
         used, begin = np.unique(part[order], return_index=True)
         spans = list(zip(begin, np.append(begin[1:], n)))
@@ -189,12 +215,13 @@ def _check(distinct: pa.Array) -> int:
 def _slices(batches: Iterator[pa.RecordBatch], specials: list[str]) -> Iterator[tuple[int, _Slice]]:
     """The slices of a task's documents, numbered over all tasks."""
     number, now = TaskContext.get().partitionId() << 32, _Slice()
-    for batch in ts.lean_batches(batches):
+    for batch in batches:
         for first, texts in ts.slices(batch.column(1)):
             now.add(batch.column(0).slice(first, len(texts)), texts, *words(texts, specials))
             if now.bytes >= SLICE_BYTES:
                 yield number, now
                 number, now = number + 1, _Slice()
+        batch = texts = None  # they would stay while the next batch is read
     if now.ids:
         yield number, now
 
@@ -203,6 +230,7 @@ def _numbers(docs: DataFrame, path: str, id_type: str) -> DataFrame:
     """One row per slice: its word numbers, document sizes and ids."""
     specials = _specials(path)
 
+    @_lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, now in _slices(batches, specials):
             yield now.numbers(number)
@@ -215,6 +243,7 @@ def _deal(docs: DataFrame, path: str, parts: int) -> DataFrame:
     """(part, slice, check, n, steps, word_lengths, words): the distinct words of every slice by their hash."""
     specials = _specials(path)
 
+    @_lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, now in _slices(batches, specials):
             yield now.dealt(number, parts)
@@ -225,8 +254,9 @@ def _deal(docs: DataFrame, path: str, parts: int) -> DataFrame:
 def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
     """(slice, check, n, steps, n_ids, lengths, word_ids): the ids of the dealt words, each distinct word encoded once."""
 
+    @_lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in ts.lean_batches(batches) if b.num_rows]
+        rows = [b for b in batches if b.num_rows]
         if not rows:
             return
         tok = _tokenizer(path)
@@ -235,11 +265,10 @@ def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
             raise ValueError(f"{path}: this tokenizer does not start afresh at a word's leading space")
         flat = pa.concat_arrays([_unpacked_strings(size, data, n) for b in rows for n, size, data in zip(
             *(b.column(c).to_pylist() for c in ("n", "word_lengths", "words")))]).dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
-        ids: list[list[int]] = []
-        for k in range(0, len(distinct), CALL_WORDS):
-            ids += [e.ids for e in tok.encode_batch(distinct[k: k + CALL_WORDS], add_special_tokens=False)]
-        table, code = pa.array(ids, pa.list_(pa.int32())), flat.indices
+        distinct, code = flat.dictionary, flat.indices
+        table = pa.concat_arrays([
+            pa.array([e.ids for e in tok.encode_batch(distinct.slice(k, CALL_WORDS).to_pylist(), add_special_tokens=False)],
+                     pa.list_(pa.int32())) for k in range(0, len(distinct), CALL_WORDS)])
         at = 0
         for b in rows:
             out = []
@@ -257,26 +286,29 @@ def _encode_words(dealt: DataFrame, path: str) -> DataFrame:
         run, "slice long, check long, n long, steps binary, n_ids long, lengths binary, word_ids binary")
 
 
-def _slice_ids(own: pa.Table, table: pa.Table) -> pa.ListArray:
-    """The ids of each document of a slice, from its word numbers and the ids of its distinct words."""
+def _slice_ids(own: pa.Table, table: pa.Table) -> Iterator[tuple[int, pa.ListArray]]:
+    """(first document, ids of each document) of runs of a slice's documents, from word numbers and the ids of distinct words."""
     row = {c: own.column(c)[0].as_py() for c in ("slice", "n_words", "codes", "n_docs", "sizes", "n_distinct")}
     if sum(table.column("n").to_pylist()) != row["n_distinct"]:
         raise ValueError(f"slice {row['slice']}: the two scans of the documents differ")
-    sizes, code = _unpacked(row["sizes"], row["n_docs"]), _unpacked(row["codes"], row["n_words"])
-    place, lengths, values = [], [], []
+    sizes, code = _unpacked(row["sizes"], row["n_docs"]), _planes(row.pop("codes"), row["n_words"])
+    place, lengths, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for n, steps, n_ids, size, ids in zip(*(table.column(c).to_pylist() for c in ("n", "steps", "n_ids", "lengths", "word_ids"))):
         place.append(np.cumsum(_unpacked(steps, n)))
         lengths.append(_unpacked(size, n))
         values.append(_unpacked(ids, n_ids))
-    if not place:
-        return pa.array([[]] * len(sizes), pa.list_(pa.int32()))
-    order = np.argsort(np.concatenate(place))
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.concatenate(lengths)))).astype(np.int32)),
-                                     pa.array(np.concatenate(values).astype(np.int32)))
-    per_word = lists.take(pa.array(order)).take(pa.array(code))
-    before = np.concatenate(([0], np.cumsum(pc.list_value_length(per_word).to_numpy(zero_copy_only=False))))
-    ends = np.concatenate(([0], np.cumsum(sizes)))
-    return pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), per_word.flatten())
+    order, length = np.argsort(np.concatenate(place)), np.concatenate(lengths)
+    offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))).take(pa.array(order))
+    length, at = length[order], 0
+    del own, table, place, lengths, values, order, offsets
+    pa.system_memory_pool().release_unused()
+    for a, b in _runs(sizes, SLICE_IDS):
+        ends = np.concatenate(([0], np.cumsum(sizes[a:b])))
+        part = _from_planes(code[:, at: at + ends[-1]])
+        at += ends[-1]
+        before = np.concatenate(([0], np.cumsum(length[part])))
+        yield a, pa.ListArray.from_arrays(pa.array(before[ends].astype(np.int32)), lists.take(pa.array(part)).flatten())
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,15 +317,22 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(id_col, F.col(text_col).cast("string"))
     table = _encode_words(_deal(rows, path, parts).repartition(parts, "part"), path)
 
-    def join(own: pa.Table, found: pa.Table) -> pa.Table:
+    @_lean
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = pa.Table.from_batches(batches)
+        mine = pc.is_valid(both.column("codes"))
+        own, found = both.filter(mine), both.filter(pc.invert(mine))
         if not own.num_rows:
             raise ValueError("words without their slice: the two scans of the documents differ")
         ids = own.column("ids").combine_chunks().flatten()
-        return pa.Table.from_arrays([ids, _slice_ids(own, found)], names=[id_col, "ids"])
+        runs = _slice_ids(own, found)
+        del both, mine, own, found  # the runs let go of them before the first one
+        for first, lists in runs:
+            yield pa.RecordBatch.from_arrays([ids.slice(first, len(lists)), lists], names=[id_col, "ids"])
 
-    keys = ["slice", "check"]
-    return _numbers(rows, path, id_type).groupBy(*keys).cogroup(table.groupBy(*keys)).applyInArrow(
-        join, f"{id_col} {id_type}, ids array<int>")
+    # One stream of rows for each slice, and ids handed on some documents at a time: a cogroup's result would be whole.
+    both = _numbers(rows, path, id_type).unionByName(table, allowMissingColumns=True)
+    return both.groupBy("slice", "check").applyInArrow(join, f"{id_col} {id_type}, ids array<int>")
 
 
 def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -333,10 +372,11 @@ def _text(raw: pa.Array) -> pa.Array:
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids",
            text_col: str = "decoded") -> DataFrame:
     """The input with ``text_col``: the pieces of its ids, joined (special pieces included)."""
+    table = pieces(path)
 
+    @_lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces(path)
-        for batch in ts.lean_batches(batches):
+        for batch in batches:
             lists = batch.column(1)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             for a, b in _runs(sizes, SLICE_IDS):
@@ -346,6 +386,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), part, _text(pc.binary_join(got, b""))],
                     names=[id_col, ids_col, text_col])
+            batch = lists = part = got = None  # they would stay while the next batch is read
 
     return encoded.select(id_col, ids_col).mapInArrow(
         run, f"{id_col} {dict(encoded.dtypes)[id_col]}, {ids_col} array<int>, {text_col} string")
